@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import forest, languages, lookalike, near, pieces, repeats
+from . import forest, languages, lookalike, near, pieces, repeats, sentences
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-for _m in (forest, languages, lookalike, near, pieces, repeats):
+for _m in (forest, languages, lookalike, near, pieces, repeats, sentences):
     QUERIES |= _m.QUERIES
     SQL |= _m.SQL
