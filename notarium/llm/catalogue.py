@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import forest, languages, lookalike, markup, near, pieces, repeats, sentences
+from . import forest, languages, lookalike, markup, mixing, near, packing, pieces, repeats, sentences
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
-for _m in (forest, languages, lookalike, markup, near, pieces, repeats, sentences):
+for _m in (forest, languages, lookalike, markup, mixing, near, packing, pieces, repeats, sentences):
     QUERIES |= _m.QUERIES
     SQL |= _m.SQL
