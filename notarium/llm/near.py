@@ -22,6 +22,7 @@ rows count once; further columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -36,22 +37,23 @@ from .codepoints import SPACE, fold_points, tables, take_rows, to_points
 from .wordset import TOKEN_BITS, mix, set_ids, token_sets
 
 #: Counters of the frequency sketch: 2**SKETCH_BITS, however large the input.
-SKETCH_BITS = 22
+SKETCH_BITS = 23
 SKETCH_BLOCKS = 64
 #: Longest extra prefix, and what verifying a candidate costs in postings.
-MOST_MATCHES = 8
+MOST_MATCHES = 24
 VERIFY_COST = 4
 #: Postings of one shingle that one block holds at most before it is split.
 HOT = 4096
 BUCKETS = 128
 #: Bits of the filter that says which sets have candidates.
 FILTER_BITS = 24
-TOKEN_BYTES = 5
+#: Bytes of a token at rest. Two shingles of a pair of texts of n shingles meet with a chance of n * n / 2**32.
+TOKEN_BYTES = 4
 _SHIFT = np.uint64(TOKEN_BITS - 8 * TOKEN_BYTES)
 
 
 def pack(tokens: np.ndarray) -> np.ndarray:
-    """Tokens to 5 bytes each, in order."""
+    """Tokens to their leading bytes, in order."""
     return np.ascontiguousarray((tokens >> _SHIFT).astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :TOKEN_BYTES]
 
 
@@ -101,7 +103,9 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if c not in seen:
                 seen.add(c)
                 fresh[i] = to[i + 1] > to[i]
-        counts += np.bincount(bucket_of(tokens[fresh[row]] >> _SHIFT), minlength=1 << SKETCH_BITS).astype(np.uint32) if fresh.any() else np.uint32(0)
+        if fresh.any():
+            counted, times = np.unique(bucket_of(tokens[fresh[row]] >> _SHIFT), return_counts=True)
+            counts[counted] += times.astype(np.uint32)
         yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), batch.column(0).cast(pa.string()), pa.array(ids), pa.nulls(n, pa.binary())], ["kind", "doc_id", "class_id", "tokens"])
         if fresh.any():
             part = pack(tokens[fresh[row]])
@@ -112,7 +116,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = np.minimum(counts, 65535).astype("<u2").reshape(SKETCH_BLOCKS, -1)
         for b in range(SKETCH_BLOCKS):
             if blocks[b].any():
-                yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.nulls(1, pa.string()), pa.array([b], pa.int64()), pa.array([blocks[b].tobytes()], pa.binary())], ["kind", "doc_id", "class_id", "tokens"])
+                yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.nulls(1, pa.string()), pa.array([b], pa.int64()), pa.array([zlib.compress(blocks[b].tobytes(), 1)], pa.binary())], ["kind", "doc_id", "class_id", "tokens"])
 
 
 def hash_bytes(points: np.ndarray) -> int:
@@ -129,18 +133,18 @@ def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[int, np.ndarray] = {}
     for batch in batches:
         for b, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            part = np.frombuffer(data, "<u2").astype(np.uint32)
+            part = np.frombuffer(zlib.decompress(data), "<u2").astype(np.uint32)
             totals[b] = totals[b] + part if b in totals else part
     for b, total in totals.items():
-        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([np.minimum(total, 65535).astype("<u2").tobytes()], pa.binary())], ["block", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([zlib.compress(np.minimum(total, 65535).astype("<u2").tobytes(), 1)], pa.binary())], ["block", "counts"])
 
 
 def sketch(sets: DataFrame) -> bytes:
-    """The count sketch of all texts: a fixed 8 MB, whatever the input."""
+    """The count sketch of all texts: a fixed 16 MB, whatever the input."""
     blocks = sets.where("kind = 2").select(F.col("class_id").alias("block"), F.col("tokens").alias("counts")).repartition(SKETCH_BLOCKS // 8, "block").mapInArrow(_add_blocks, "block bigint, counts binary")
     out = np.zeros((SKETCH_BLOCKS, (1 << SKETCH_BITS) // SKETCH_BLOCKS), "<u2")
     for r in blocks.collect():  # SKETCH_BLOCKS rows at most
-        out[r["block"]] = np.frombuffer(r["counts"], "<u2")
+        out[r["block"]] = np.frombuffer(zlib.decompress(r["counts"]), "<u2")
     return out.tobytes()
 
 
@@ -172,7 +176,7 @@ def _prefixes(counts, parts: int, up: int, down: int):
                 use = (pos < np.minimum(base + matches, size)[row]) & (others > 0)
                 index = np.flatnonzero(use)
                 r, p = row[index], pos[index]
-                token = key[index] & np.uint64((1 << 48) - 1)
+                token = mix(key[index] & np.uint64((1 << 48) - 1)) >> np.uint64(24)
                 # frequent shingles: blocks of block pairs
                 splits = np.where(others[index] > HOT, -(-others[index] // HOT), 1)
                 if (splits > 1).any():
@@ -180,7 +184,7 @@ def _prefixes(counts, parts: int, up: int, down: int):
                     take = np.repeat(np.arange(len(r)), splits)
                     other = np.arange(len(take)) - np.repeat(np.cumsum(splits) - splits, splits)
                     low, high = np.minimum(own[take], other), np.maximum(own[take], other)
-                    r, p, token = r[take], p[take], np.where(splits[take] > 1, mix(token[take] ^ (low.astype(np.uint64) << np.uint64(52)) ^ (high.astype(np.uint64) << np.uint64(58))) >> np.uint64(16), token[take])
+                    r, p, token = r[take], p[take], np.where(splits[take] > 1, mix(token[take] ^ (low.astype(np.uint64) << np.uint64(52)) ^ (high.astype(np.uint64) << np.uint64(58))) >> np.uint64(24), token[take])
                 part = (mix(token) % np.uint64(parts)).astype(np.int64)
                 signature = np.minimum(np.bincount(row * BUCKETS + (tokens % np.uint64(BUCKETS)).astype(np.int64), minlength=len(ids) * BUCKETS), 15).reshape(len(ids), BUCKETS).astype(np.uint8)
                 signature = signature[:, ::2] | (signature[:, 1::2] << 4)
@@ -195,7 +199,7 @@ def _prefixes(counts, parts: int, up: int, down: int):
                 rec["id"], rec["size"], rec["matches"], rec["many"] = ids[r[first]], size[r[first]], matches[r[first]], many
                 rec["sig"] = signature[r[first]]
                 post = np.zeros(len(r), POSTING)
-                post["low"], post["mid"], post["pos"] = token & np.uint64(0xFFFFFFFF), token >> np.uint64(32), p
+                post["low"], post["top"], post["pos"] = token & np.uint64(0xFFFFFFFF), token >> np.uint64(32), np.minimum(p, 65535)
                 where = part[first]
                 cut = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1], [True]]))
                 post_at = np.append(first, len(r))
@@ -210,7 +214,8 @@ def _prefixes(counts, parts: int, up: int, down: int):
 
 
 RECORD = np.dtype([("id", "<i8"), ("size", "<u4"), ("matches", "u1"), ("many", "<u2"), ("sig", "u1", (BUCKETS // 2,))])
-POSTING = np.dtype([("low", "<u4"), ("mid", "<u2"), ("pos", "<u4")])
+#: A shingle (order and hash, 40 bits) and its place in the order, which stops counting at 65,535.
+POSTING = np.dtype([("low", "<u4"), ("top", "u1"), ("pos", "<u2")])
 
 
 def bucket_of(tokens: np.ndarray) -> np.ndarray:
@@ -242,7 +247,7 @@ def _meet(up: int, down: int):
             recs, posts = by_part.pop(part)
             rec, post = np.concatenate(recs), np.concatenate(posts)
             of = np.repeat(np.arange(len(rec)), rec["many"])
-            token = (post["mid"].astype(np.uint64) << np.uint64(32)) | post["low"]
+            token = (post["top"].astype(np.uint64) << np.uint64(32)) | post["low"]
             pos = post["pos"].astype(np.int64)
             order = np.lexsort((rec["id"][of], token))
             token, of, pos = token[order], of[order], pos[order]
@@ -264,6 +269,7 @@ def _meet(up: int, down: int):
                     nx, ny = size[x], size[y]
                     px, py = pos[m], pos[m + step]
                     most = np.minimum(px, py) + 1 + np.minimum(nx - px - 1, ny - py - 1)
+                    most = np.where(np.maximum(px, py) >= 65535, nx, most)  # the place is not known
                     ok = (np.minimum(nx, ny) * down >= up * np.maximum(nx, ny)) & (most * (up + down) >= up * (nx + ny))
                     x, y, total = x[ok], y[ok], (nx + ny)[ok]
                     if len(x):
@@ -376,8 +382,9 @@ def text_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def candidates(sets: DataFrame, up: int, down: int) -> DataFrame:
     """Pairs of classes that share enough prefix shingles."""
     spark = sets.sparkSession
-    parts = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counts = spark.sparkContext.broadcast(sketch(sets))  # 8 MB
+    # a text sends its signature to every part in which it has prefix shingles, so parts are few and large
+    parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
+    counts = spark.sparkContext.broadcast(sketch(sets))  # 16 MB
     packed = sets.where("kind = 1").select("class_id", "tokens").mapInArrow(_prefixes(counts, parts, up, down), "part int, records binary, postings binary")
     met = packed.repartition(parts, "part").mapInArrow(_meet(up, down), PAIRS)
     return met.groupBy("class_a", "class_b").agg(F.sum("hits").alias("hits"), F.min("needed").alias("needed")).where("hits >= needed").select("class_a", "class_b")
