@@ -148,9 +148,11 @@ def sketch(sets: DataFrame) -> bytes:
     return out.tobytes()
 
 
-def _prefixes(counts, parts: int, up: int, down: int):
+def _prefixes(counts, keys: list[int], up: int, down: int):
     """(class, tokens) to packed prefix records for each part; similarity up / down."""
 
+    parts = len(keys)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         freq = np.frombuffer(counts.value, "<u2")
         for whole in batches:
@@ -205,7 +207,7 @@ def _prefixes(counts, parts: int, up: int, down: int):
                 post_at = np.append(first, len(r))
                 out_part, records, postings = [], [], []
                 for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                    out_part.append(int(where[a]))
+                    out_part.append(keys[int(where[a])])
                     records.append(rec[a:b].tobytes())
                     postings.append(post[post_at[a] : post_at[b]].tobytes())
                 yield pa.RecordBatch.from_arrays([pa.array(out_part, pa.int32()), pa.array(records, pa.binary()), pa.array(postings, pa.binary())], ["part", "records", "postings"])
@@ -379,13 +381,24 @@ def text_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return keep(rows.mapInArrow(_sets, SETS), "none")
 
 
+def even_keys(spark: SparkSession, parts: int) -> list[int]:
+    """A number for each part whose hash leads to a partition of its own."""
+    keys: dict[int, int] = {}
+    upto = parts * 16
+    while len(keys) < parts:
+        for r in spark.range(upto).select(F.col("id").cast("int").alias("k"), F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias("p")).groupBy("p").agg(F.min("k").alias("k")).collect():  # one row a part
+            keys[r["p"]] = r["k"]
+        upto *= 4
+    return [keys[p] for p in range(parts)]
+
+
 def candidates(sets: DataFrame, up: int, down: int) -> DataFrame:
     """Pairs of classes that share enough prefix shingles."""
     spark = sets.sparkSession
     # a text sends its signature to every part in which it has prefix shingles, so parts are few and large
     parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
     counts = spark.sparkContext.broadcast(sketch(sets))  # 16 MB
-    packed = sets.where("kind = 1").select("class_id", "tokens").mapInArrow(_prefixes(counts, parts, up, down), "part int, records binary, postings binary")
+    packed = sets.where("kind = 1").select("class_id", "tokens").mapInArrow(_prefixes(counts, even_keys(spark, parts), up, down), "part int, records binary, postings binary")
     met = packed.repartition(parts, "part").mapInArrow(_meet(up, down), PAIRS)
     return met.groupBy("class_a", "class_b").agg(F.sum("hits").alias("hits"), F.min("needed").alias("needed")).where("hits >= needed").select("class_a", "class_b")
 
