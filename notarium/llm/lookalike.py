@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ship, table
+from ..session import keep, ship, table
 from .batches import slices
 from .codepoints import fold
 
@@ -58,7 +58,7 @@ def alike(values: DataFrame) -> DataFrame:
     go on.  Equal values are never paired, so a hot value costs one row a
     member, and only differing members meet.
     """
-    seen = forms(values)
+    seen = keep(forms(values))
     several = seen.groupBy("field", "form").agg(F.min("raw").alias("low"), F.max("raw").alias("high")).where("low <> high").select("field", "form")
     members = seen.join(several, ["field", "form"]).distinct()
     kinds = members.select("field", "form", "raw").distinct()
