@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
+MODULES = ["corpus"]
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
+for _name in MODULES:
+    _m = import_module(f"notarium.plans.{_name}")
+    QUERIES |= _m.QUERIES
+    SQL |= _m.SQL
 FLAGSHIP = "a1_exact_dups"
