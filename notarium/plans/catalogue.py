@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["corpus"]
+MODULES = ["corpus", "vocabulary"]
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 for _name in MODULES:

@@ -8,20 +8,10 @@ from pyspark.sql import functions as F
 from ..operators import corpus as op
 from ..session import table
 from . import base as b
+from .registry import Registry
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    def register(f):
-        QUERIES[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return register
-
+query = Registry()
+QUERIES, SQL = query.queries, query.sql
 
 HASH = r"nullif(regexp_replace(lower(trim({0})), '^sha256:', ''), '')"
 
