@@ -34,7 +34,7 @@ def a3(spark: SparkSession, d: str) -> DataFrame:
     return m.agg(F.count("*").alias("docs"), F.sum("size_bytes").alias("bytes"), F.sum("word_count").alias("words"), F.sum("char_count").alias("chars"), F.sum("line_count").alias("lines"))
 
 
-@query("p1_text_stats", f"select doc_id, {b.sql_words('text')} as words, length(text) as chars, len(string_split(text, chr(10))) as lines from documents")
+@query("pj1_text_stats", f"select doc_id, {b.sql_words('text')} as words, length(text) as chars, len(string_split(text, chr(10))) as lines from documents")
 def p1(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", b.words("text").alias("words"), F.length("text").cast("bigint").alias("chars"), F.size(F.split("text", "\n", -1)).cast("bigint").alias("lines"))
 
@@ -42,7 +42,7 @@ def p1(spark: SparkSession, d: str) -> DataFrame:
 BIN = "case when word_count < 100 then '<100' when word_count < 500 then '<500' when word_count < 2000 then '<2000' when word_count <= 10000 then '<=10000' else '>10000' end"
 
 
-@query("p10_size_bins", b.with_(b.M) + f"select {BIN} as bin, count(*) as docs, sum(word_count)::bigint as words from m where word_count is not null group by 1")
+@query("pj10_size_bins", b.with_(b.M) + f"select {BIN} as bin, count(*) as docs, sum(word_count)::bigint as words from m where word_count is not null group by 1")
 def p10(spark: SparkSession, d: str) -> DataFrame:
     return b.manifest(spark, d).where("word_count is not null").groupBy(F.expr(BIN).alias("bin")).agg(F.count("*").alias("docs"), F.sum("word_count").alias("words"))
 

@@ -86,7 +86,7 @@ def w5(spark: SparkSession, d: str) -> DataFrame:
     return b.structured(spark, d).where("size(headings) > 0").select("doc_id", F.posexplode(paths).alias("i", "path")).select("doc_id", (F.col("i") + 1).alias("heading_no"), "path")
 
 
-@query("p4_route", b.with_(b.S) + "select doc_id, case when doc_type_guess.label = 'gedanke' then 'thought' when len(code_blocks) > 0 or tables_count >= 1 or len(headings) >= 3 or coalesce(len(embeds), 0) > 0 then 'passthrough' else 'stage3' end as route from s")
+@query("pj4_route", b.with_(b.S) + "select doc_id, case when doc_type_guess.label = 'gedanke' then 'thought' when len(code_blocks) > 0 or tables_count >= 1 or len(headings) >= 3 or coalesce(len(embeds), 0) > 0 then 'passthrough' else 'stage3' end as route from s")
 def p4(spark: SparkSession, d: str) -> DataFrame:
     rich = (F.size("code_blocks") > 0) | (F.col("tables_count") >= 1) | (F.size("headings") >= 3) | (F.coalesce(F.size("embeds"), F.lit(0)) > 0)
     return b.structured(spark, d).select("doc_id", F.when(F.col("doc_type_guess.label") == "gedanke", "thought").when(rich, "passthrough").otherwise("stage3").alias("route"))

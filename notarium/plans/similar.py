@@ -68,7 +68,8 @@ _T = ", ".join(
     [
         b.G,
         "d as (select text, min(segment_id) as id from g where length(text) >= 400 group by text)",
-        "tf as (select id, term, count(*) as tf from (select id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}')) as term from d) group by 1, 2)",
+        "ws as (select id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]{2,}') as ws from d)",
+        "tf as (select id, term, count(*) as tf from (select id, unnest(list_concat(ws, list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]))) as term from ws) group by 1, 2)",
         "df as (select term, count(*) as df from tf group by 1 having count(*) >= 2)",
         "raw as (select id, term, df, (1 + ln(tf::double)) * (ln((1.0 + (select count(*) from d)) / (1.0 + df)) + 1) as raw from tf join df using (term))",
         "ln_ as (select id, sqrt(sum(raw * raw)) as length from raw group by 1)",
@@ -94,7 +95,7 @@ def j6(spark: SparkSession, d: str) -> DataFrame:
 _SIM = "case when similarity >= 1.0 then '1.00' when similarity >= 0.9 then '>=0.90' when similarity >= 0.8 then '>=0.80' else '<0.80' end"
 
 
-@query("p11_sim_bins", "with " + _T + f" select {_SIM} as bin, count(*) as edges from edges group by 1")
+@query("pj11_sim_bins", "with " + _T + f" select {_SIM} as bin, count(*) as edges from edges group by 1")
 def p11(spark: SparkSession, d: str) -> DataFrame:
     return _edges(spark, d).groupBy(F.expr(_SIM).alias("bin")).agg(F.count("*").alias("edges"))
 

@@ -115,7 +115,7 @@ def j16(spark: SparkSession, d: str) -> DataFrame:
     return op.shared_items(b.tags(spark, d), "doc_id", "tag", 2)
 
 
-@query("p15_schema_issues", b.with_(b.C) + "select doc_id, unnest(list_filter([case when json_extract_string(frontmatter, '$.title') is null then 'missing:title' end, case when json_extract_string(frontmatter, '$.created') is null then 'missing:created' end, case when json_extract_string(frontmatter, '$.status') is null then 'missing:status' end, case when json_extract_string(frontmatter, '$.status') not in ('draft', 'review', 'stable', 'deprecated') then 'invalid:status' end, case when frontmatter is null then 'missing:frontmatter' end], lambda x: x is not null)) as issue from c")
+@query("pj15_schema_issues", b.with_(b.C) + "select doc_id, unnest(list_filter([case when json_extract_string(frontmatter, '$.title') is null then 'missing:title' end, case when json_extract_string(frontmatter, '$.created') is null then 'missing:created' end, case when json_extract_string(frontmatter, '$.status') is null then 'missing:status' end, case when json_extract_string(frontmatter, '$.status') not in ('draft', 'review', 'stable', 'deprecated') then 'invalid:status' end, case when frontmatter is null then 'missing:frontmatter' end], lambda x: x is not null)) as issue from c")
 def p15(spark: SparkSession, d: str) -> DataFrame:
     get = lambda k: F.get_json_object("frontmatter", f"$.{k}")
     issue = [F.when(get(k).isNull(), f"missing:{k}") for k in ("title", "created", "status")]
@@ -126,7 +126,7 @@ def p15(spark: SparkSession, d: str) -> DataFrame:
 _GAP = "i as (select doc_id, json_extract_string(frontmatter, '$.title') is null as no_title, json_extract_string(frontmatter, '$.status') is null as no_status, coalesce(len(from_json(json_extract(frontmatter, '$.tags'), '[\"VARCHAR\"]')), 0) = 0 as no_tags from c)"
 
 
-@query("p16_gap_class", b.with_(b.C, _GAP) + "select doc_id, case when no_status then 'owner' when no_tags then 'llm' when no_title then 'mechanical' else 'complete' end as recommendation from i")
+@query("pj16_gap_class", b.with_(b.C, _GAP) + "select doc_id, case when no_status then 'owner' when no_tags then 'llm' when no_title then 'mechanical' else 'complete' end as recommendation from i")
 def p16(spark: SparkSession, d: str) -> DataFrame:
     get = lambda k: F.get_json_object("frontmatter", f"$.{k}")
     no_tags = F.coalesce(F.size(F.from_json(get("tags"), "array<string>")), F.lit(0)) <= 0
