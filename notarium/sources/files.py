@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -128,8 +129,6 @@ def write_vectors(df: DataFrame, path: str) -> None:
 
 def answers(df: DataFrame, prompt_col: str, client) -> DataFrame:
     """Add ``answer`` of a client given with the call: a function of a prompt. Prompts go in Arrow batches."""
-    import pandas as pd
-
     ship(df.sparkSession)
 
     @F.pandas_udf("string")
