@@ -70,8 +70,12 @@ SEED = {
 }
 
 _BLANK = re.compile(r"\n(?:[^\S\n]*\n)+")
-_MARKER = re.compile(r"[^\S\n]*(?:#{1,6}\s|>|[-*+•]\s|\d{1,3}[.)]\s|\||={2,}|!\[|\{[{|]|<|\\|\$|:::|\[\^|[-*_=~]{3,}\s*$)")
-_NOISE = re.compile(r"`[^`\n]*`|\[\[[^\]\n]*\]\]|\]\([^)\n]*\)|https?://\S+|\$[^$\n]+\$|<[^>\n]{1,80}>|\{\{[^}\n]*\}\}|\S*[\\/_]\S*|&\w+;")
+_MARKER = re.compile(
+    r"[^\S\n]*(?:#{1,6}\s|>|[-*+•]\s|\d{1,3}[.)]\s|\||={2,}|!\[|\{[{|]|</?(?:h[1-6]|ul|ol|li|table|tbody|tr|td|th|pre|code|blockquote|hr)\b"
+    r"|\\(?:(?:sub)*section|chapter|paragraph|begin|end|item|documentclass|usepackage|title|maketitle)\b|\\\\|\$|:::|\[\^|[-*_=~]{3,}\s*$)",
+    re.I,
+)
+_NOISE = re.compile(r"`[^`\n]*`|\[\[[^\]\n]*\]\]|\]\([^)\n]*\)|https?://\S+|\$[^$\n]+\$|<script\b.*?</script>|<!--.*?-->|</?[A-Za-z][^<>]{0,120}>|\{\{[^}\n]*\}\}|\\[A-Za-z]+|\S*[\\/_]\S*|&#?\w+;", re.S | re.I)
 
 
 def paragraphs(text: str) -> list[str]:
