@@ -123,7 +123,8 @@ def tables() -> dict[str, np.ndarray]:
         form = extra[start[cp] - TOP : start[cp] - TOP + int(length[cp])]
         made = _compose(np.array(form, np.uint32), np.zeros(len(form), np.int64), {"ccc": ccc, "second": second, "keys": keys, "composed": np.array([pairs[k] for k in keys.tolist()], np.uint32)})[0] if len(form) > 1 else form
         single[cp] = made[0] if len(made) == 1 else GONE
-        hard[cp] |= len(made) > 1
+        hard[cp] |= len(made) > 1 or (len(made) == 1 and bool(second[made[0]] or ccc[made[0]]))
+    hard[0x1161:0x1176] = hard[0x11A8:0x11C3] = True
     hard |= (ccc > 0) & (ccc != 7) & (ccc != 9) & ~((np.arange(TOP) >= 0x0E00) & (np.arange(TOP) < 0x0F00)) & (np.arange(TOP) >= 0x300) & (np.arange(TOP) < 0x370)
     return {"single": single, "hard": hard, "length": length, "start": start, "pool": np.concatenate(pool), "ccc": ccc, "kind": kind, "lower": lower, "keys": keys, "composed": np.array([pairs[k] for k in keys.tolist()], np.uint32), "second": second}
 
@@ -157,9 +158,10 @@ def _compose(points: np.ndarray, rows: np.ndarray, t: dict[str, np.ndarray]) ->
     ccc = t["ccc"][points]
     marked = ccc > 0
     if marked.any():
-        wrong = np.flatnonzero(marked[1:] & (ccc[1:] < ccc[:-1])) + 1
+        fresh = np.concatenate([[True], rows[1:] != rows[:-1]])
+        wrong = np.flatnonzero(marked[1:] & (ccc[1:] < ccc[:-1]) & ~fresh[1:]) + 1
         if len(wrong):
-            group = np.cumsum(~marked)
+            group = np.cumsum(~marked | fresh)
             part = np.flatnonzero(np.isin(group, group[wrong]) & marked)
             order = np.lexsort((part, ccc[part], group[part]))
             points = points.copy()
@@ -208,10 +210,32 @@ def _fold_fully(points: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndar
     out = t["pool"][source]
     per_row = np.concatenate([[0], ends])[at]
     rows = np.repeat(np.arange(n), np.diff(per_row))
-    out, rows = _compose(out, rows, t)
+    out, rows = _hangul(*_compose(out, rows, t))
     return out, np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]).astype(np.int64)
 
 
+def _hangul(points: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Conjoining jamo as syllables: lead and vowel, then what ends them."""
+    for second, base in ((0x1161, 0x1100), (0x11A8, 0xAC00)):
+        if len(points) < 2:
+            return points, rows
+        a, b = points[:-1].astype(np.int64), points[1:].astype(np.int64)
+        same = rows[1:] == rows[:-1]
+        if base == 0x1100:
+            hit = np.flatnonzero(same & (a >= 0x1100) & (a < 0x1113) & (b >= second) & (b < 0x1176))
+            made = 0xAC00 + ((a[hit] - 0x1100) * 21 + b[hit] - second) * 28
+        else:
+            hit = np.flatnonzero(same & (a >= 0xAC00) & (a < 0xD7A4) & ((a - 0xAC00) % 28 == 0) & (b >= second) & (b < 0x11C3))
+            made = a[hit] + b[hit] - 0x11A7
+        if len(hit):
+            points = points.copy()
+            points[hit] = made
+            keep = np.ones(len(points), bool)
+            keep[hit + 1] = False
+            points, rows = points[keep], rows[keep]
+    return points, rows
+
+
 def take_rows(points: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The points of the given rows."""
     size = at[rows + 1] - at[rows]
