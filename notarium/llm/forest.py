@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import keep, ship, table
-from .near import TOKEN_BYTES, binary_points, text_sets, unpack, verified
+from .near import MOST_HELD, TOKEN_BYTES, binary_points, text_sets, unpack, verified
 from .wordset import mix
 
 TREES, LEVELS, LEVEL_BITS = 40, 4, 16
@@ -93,7 +93,12 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     entry, ids, fresh = entry[order], ids[order], fresh[order]
     edge = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1], [True]]))
     end = np.repeat(edge[1:], np.diff(edge))
-    live, step, found = np.arange(len(entry)), 0, []
+    live, step, found, held = np.arange(len(entry)), 0, [], 0
+
+    def unique() -> pa.RecordBatch:
+        pairs = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["class_a", "class_b"])
+
     while len(live):
         step += 1
         live = live[live + step < end[live]]
@@ -101,9 +106,12 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ok = (a != b) & (fresh[live] | fresh[live + step])
         if ok.any():
             found.append(np.stack([np.minimum(a, b)[ok], np.maximum(a, b)[ok]], 1))
+            held += int(ok.sum())
+        if held > MOST_HELD:
+            yield unique()
+            found, held = [], 0
     if found:
-        pairs = np.unique(np.concatenate(found), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["class_a", "class_b"])
+        yield unique()
 
 
 class HashForest:

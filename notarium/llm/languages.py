@@ -33,6 +33,8 @@ LANGUAGES = ["de", "el", "en", "es", "fr", "hi", "it", "ja", "nl", "ru", "th", "
 PROFILE = 500
 TABLE_BITS = 17
 SAMPLE_ROWS = 150
+#: Texts above this size are not sampled for training; every text is classified whole.
+SAMPLE_CHARS = 20_000
 #: Letters a paragraph needs (a dense letter counts three) and the least lead of the nearest language.
 LEAST_LETTERS = 24
 LEAST_LEAD = 0.1
@@ -277,11 +279,11 @@ def with_label(df: DataFrame) -> DataFrame:
 
 
 def sample_profiles(df: DataFrame, id_col: str, text_col: str, label_col: str, rows: int = SAMPLE_ROWS) -> Profiles:
-    """Profiles from at most ``rows`` rows of each language, chosen by a hash of the id."""
+    """Profiles from at most ``rows`` rows of each language, chosen by a hash of the id among texts of up to SAMPLE_CHARS."""
     first = Window.partitionBy(label_col).orderBy(F.xxhash64(id_col), id_col)
-    ids = df.where(F.col(label_col).isin(LANGUAGES) & F.col(id_col).isNotNull()).select(id_col, label_col).withColumn("k", F.row_number().over(first)).where(F.col("k") <= rows).select(id_col)
+    ids = df.where(F.col(label_col).isin(LANGUAGES) & F.col(id_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS)).select(id_col, label_col).withColumn("k", F.row_number().over(first)).where(F.col("k") <= rows).select(id_col)
     chosen = [r[0] for r in ids.collect()]  # rows x languages at most
-    got = df.where(F.col(id_col).isin(chosen) & F.col(text_col).isNotNull()).select(id_col, label_col, F.substring(text_col, 1, 20000)).collect() if chosen else []
+    got = df.where(F.col(id_col).isin(chosen) & F.col(text_col).isNotNull()).select(id_col, label_col, text_col).collect() if chosen else []
     return fit_profiles(sorted({(r[1], r[2]) for r in got if r[1] in LANGUAGES}))
 
 

@@ -44,6 +44,8 @@ MOST_MATCHES = 24
 VERIFY_COST = 4
 #: Postings of one shingle that one block holds at most before it is split.
 HOT = 4096
+#: Matches that a task holds before it hands them on.
+MOST_HELD = 4_000_000
 BUCKETS = 128
 #: Bits of the filter that says which sets have candidates.
 FILTER_BITS = 24
@@ -260,7 +262,7 @@ def _meet(up: int, down: int):
             end = np.repeat(edge[1:], np.diff(edge))
             size = rec["size"].astype(np.int64)
             live = np.arange(len(token))
-            found_a, found_b = [], []
+            found_a, found_b, held = [], [], 0
             step = 0
             while len(live):
                 step += 1
@@ -278,20 +280,28 @@ def _meet(up: int, down: int):
                         ok = _overlap_bound(rec["sig"][x], rec["sig"][y]) * (up + down) >= up * total
                         found_a.append(x[ok])
                         found_b.append(y[ok])
-            if not found_a:
-                continue
-            x, y = np.concatenate(found_a), np.concatenate(found_b)
-            ida, idb = rec["id"][x], rec["id"][y]
-            a, b = np.minimum(ida, idb), np.maximum(ida, idb)
-            order = np.lexsort((b, a))
-            a, b, need = a[order], b[order], np.minimum(rec["matches"][x], rec["matches"][y])[order]
-            first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])) if len(a) else np.zeros(0, np.int64)
-            hits = np.diff(np.append(first, len(a)))
-            yield pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(hits.astype(np.int32)), pa.array(need[first].astype(np.int32))], ["class_a", "class_b", "hits", "needed"])
+                        held += len(x[ok])
+                    if held > MOST_HELD:
+                        yield _summed(rec, found_a, found_b)
+                        found_a, found_b, held = [], [], 0
+            if held:
+                yield _summed(rec, found_a, found_b)
 
     return run
 
 
+def _summed(rec: np.ndarray, found_a: list[np.ndarray], found_b: list[np.ndarray]) -> pa.RecordBatch:
+    """Matches of pairs of records, added up."""
+    x, y = np.concatenate(found_a), np.concatenate(found_b)
+    ida, idb = rec["id"][x], rec["id"][y]
+    a, b = np.minimum(ida, idb), np.maximum(ida, idb)
+    order = np.lexsort((b, a))
+    a, b, need = a[order], b[order], np.minimum(rec["matches"][x], rec["matches"][y])[order]
+    first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+    hits = np.diff(np.append(first, len(a)))
+    return pa.RecordBatch.from_arrays([pa.array(a[first]), pa.array(b[first]), pa.array(hits.astype(np.int32)), pa.array(need[first].astype(np.int32))], ["class_a", "class_b", "hits", "needed"])
+
+
 def _filter_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bits = np.zeros(1 << FILTER_BITS, bool)
     for batch in batches:

@@ -31,6 +31,8 @@ from ..session import ship, table
 from .markdown import fences
 
 SAMPLE_ROWS = 3000
+#: Texts above this size are not sampled for training; every text is split whole.
+SAMPLE_CHARS = 20_000
 
 #: Common abbreviations that a name, number or further word follows.
 ABBREVIATIONS = set(
@@ -398,9 +400,9 @@ def fit(texts: list[str], rounds: int = 300) -> Model:
 
 def sample_model(df: DataFrame, id_col: str, text_col: str, rows: int = SAMPLE_ROWS) -> Model:
     """A model fitted on at most ``rows`` texts, chosen by a hash of the id."""
-    ids = [r[0] for r in df.where(F.col(text_col).isNotNull()).select(id_col).orderBy(F.xxhash64(id_col), id_col).limit(rows).collect()]
+    ids = [r[0] for r in df.where(F.length(text_col) <= SAMPLE_CHARS).select(id_col).orderBy(F.xxhash64(id_col), id_col).limit(rows).collect()]
     # a short list of ids goes back as a filter, so that only their texts reach the driver
-    got = df.where(F.col(id_col).isin(ids)).select(F.substring(text_col, 1, 20000)).collect() if ids else []
+    got = df.where(F.col(id_col).isin(ids)).select(text_col).collect() if ids else []
     return fit(sorted({r[0] for r in got if r[0]}))
 
 
