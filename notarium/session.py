@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -37,7 +39,9 @@ def shared_folder(spark: SparkSession) -> str:
         at = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = at.get() if at.isDefined() else None
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="notarium-")
+        own = tempfile.mkdtemp(prefix="notarium-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        base = "file://" + own
         spark.sparkContext.setCheckpointDir(base)
     elif not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(base)
