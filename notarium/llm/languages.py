@@ -38,6 +38,7 @@ SAMPLE_CHARS = 20_000
 #: Letters a paragraph needs (a dense letter counts three) and the least lead of the nearest language.
 LEAST_LETTERS = 24
 LEAST_LEAD = 0.1
+LEAST_SENTENCE = 20
 
 #: Names of each language as labels give them.
 NAMES = {
@@ -72,12 +73,13 @@ SEED = {
 }
 
 _BLANK = re.compile(r"\n(?:[^\S\n]*\n)+")
+_SENTENCE = re.compile(r"(?<=[.!?…;])\s+|(?<=[。！？।])|(?<=[\u0e00-\u0e7f)”])\s+")
 _MARKER = re.compile(
     r"[^\S\n]*(?:#{1,6}\s|>|[-*+•]\s|\d{1,3}[.)]\s|\||={2,}|!\[|\{[{|]|</?(?:h[1-6]|ul|ol|li|table|tbody|tr|td|th|pre|code|blockquote|hr)\b"
     r"|\\(?:(?:sub)*section|chapter|paragraph|begin|end|item|documentclass|usepackage|title|maketitle)\b|\\\\|\$|:::|\[\^|[-*_=~]{3,}\s*$)",
     re.I,
 )
-_NOISE = re.compile(r"`[^`\n]*`|\[\[[^\]\n]*\]\]|\]\([^)\n]*\)|https?://\S+|\$[^$\n]+\$|<script\b.*?</script>|<!--.*?-->|</?[A-Za-z][^<>]{0,120}>|\{\{[^}\n]*\}\}|\\[A-Za-z]+|\S*[\\/_]\S*|&#?\w+;", re.S | re.I)
+_NOISE = re.compile(r"`[^`\n]*`|\[\[[^\]\n]*\]\]|\]\([^)\n]*\)|https?://\S+|\$[^$\n]+\$|<script\b.*?</script>|<!--.*?-->|</?[A-Za-z][^<>]{0,120}>|\{\{[^}\n]*\}\}|\\[A-Za-z]+|[A-Za-z0-9.:~$-]*[\\/_][A-Za-z0-9.\\/_:~$-]*|&#?\w+;", re.S | re.I)
 
 
 def paragraphs(text: str) -> list[str]:
@@ -312,6 +314,14 @@ def _assign(profiles):
                 weight = np.zeros((len(texts), len(LANGUAGES)))
                 np.add.at(weight, (owner, best), np.where(sure, letters, letters * 1e-6))
                 main = weight.argmax(1)
+                other = np.flatnonzero(sure & (best != main[owner]))
+                if len(other):  # a paragraph that has a sentence in the text's language is not wholly foreign
+                    bits = [(k, x) for k in other.tolist() for x in _SENTENCE.split(parts[k]) if len(x) > 6]
+                    if bits:
+                        at, ahead, size = model.nearest([x for _, x in bits])
+                        of = np.array([k for k, _ in bits])
+                        own = of[(at == main[owner[of]]) & (ahead >= LEAST_LEAD) & (size >= LEAST_SENTENCE)]
+                        sure[own] = False
                 lang = np.where(sure, best, main[owner])
                 kinds = np.zeros((len(texts), len(LANGUAGES)), bool)
                 kinds[owner[sure], best[sure]] = True

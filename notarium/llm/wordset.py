@@ -18,7 +18,7 @@ TOKEN_BITS = 48
 TOKEN_MASK = np.uint64((1 << TOKEN_BITS) - 1)
 WORDS, CHARS = 3, 8
 #: A dense letter (Han, kana, Thai) stands for about this many letters of an alphabet.
-DENSE_WEIGHT = 2
+DENSE_WEIGHT = 3
 
 
 def mix(x: np.ndarray) -> np.ndarray:
