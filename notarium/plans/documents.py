@@ -212,3 +212,31 @@ def f13(spark: SparkSession, d: str) -> DataFrame:
     book = (F.col("words") > 8000) & (F.col("n_top") >= 5)
     score = F.round(F.least(F.lit(0.95), F.greatest(F.lit(0.3), F.col("best") / 10.0)), 2)
     return y.select("doc_id", F.when(book, "book").when(F.col("best") <= 2, "unklar").otherwise(F.expr(label)).alias("label"), F.when(book, 0.9).when(F.col("best") <= 2, 0.3).otherwise(score).alias("confidence"))
+
+
+@query("d21_backfill")
+def d21(spark: SparkSession, d: str) -> DataFrame:
+    """Key phrases put into front matter, with the proof that taking them out gives the same note."""
+    from ..functions import notes
+
+    stop = set((DE + " " + EN).split())
+
+    def fill(t: str):
+        before = "---\ntitle: x\n---\n" + t
+        after = notes.add_list(before, "keyphrases", fn.keyphrases(t, stop))
+        return [(after != before, notes.is_additive(before, after, "keyphrases"))]
+
+    return fn.map_texts(_bodies(spark, d), "doc_id", "body", fill, "added boolean, additive boolean")
+
+
+@query("d2_patches")
+def d2(spark: SparkSession, d: str) -> DataFrame:
+    """What the review patches would change; they are never applied by themselves."""
+    from ..functions import notes
+
+    def patch(t: str):
+        one, a = notes.without_tokens(t)
+        _, c = notes.rebuilt_links(one)
+        return [(a, c)] if a or c else []
+
+    return fn.map_texts(_bodies(spark, d), "doc_id", "body", patch, "tokens int, links int")
