@@ -62,7 +62,7 @@ def a7v(spark: SparkSession, d: str) -> DataFrame:
     return graph.components(pairs.select(F.col("query_id").alias("src"), F.col("vec_id").alias("dst")))
 
 
-#: Similarity of sections: above the reference's 0.72 the test data has copies with small edits.
+#: Least similarity of sections that count as near-duplicates.
 EDGE = 0.72
 _T = ", ".join(
     [
