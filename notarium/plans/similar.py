@@ -108,9 +108,46 @@ def t2(spark: SparkSession, d: str) -> DataFrame:
 @query("f30_tfidf_top", "with " + _T + ", o as (select id, term, round(w, 6) as w, row_number() over (partition by id order by round(w, 9) desc, term) as rn from v) select id, term, w from o where rn <= 3")
 def f30(spark: SparkSession, d: str) -> DataFrame:
     texts = b.segments(spark, d).where(F.length("text") >= 400).groupBy("text").agg(F.min("segment_id").alias("id"))
+    return _top_terms(texts)
+
+
+def _top_terms(texts: DataFrame) -> DataFrame:
     v = tfidf.weights(texts, "id", "text")
     w = Window.partitionBy("id").orderBy(F.desc(F.round("w", 9)), "term")
     return v.withColumn("rn", F.row_number().over(w)).where("rn <= 3").select("id", "term", F.round("w", 6).alias("w"))
 
 
+_TA = _T.replace(" where length(text) >= 400", " where text is not null")
+
+
+def _all_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Sections of every length; equal texts are one, named by their first id."""
+    return b.segments(spark, d).where("text is not null").groupBy("text").agg(F.min("segment_id").alias("id"))
+
+
+def _all_edges(spark: SparkSession, d: str) -> DataFrame:
+    return tfidf.similar(tfidf.weights(_all_texts(spark, d), "id", "text"), EDGE).withColumn("similarity", F.round("similarity", 4))
+
+
+@query("j6_all_near_dups", "with " + _TA + " select a, b, similarity from edges")
+def j6_all(spark: SparkSession, d: str) -> DataFrame:
+    """Similar sections of any length, where j6_near_dups sees those of 400 characters or more."""
+    return _all_edges(spark, d)
+
+
+@query("pj11_all_sim_bins", "with " + _TA + f" select {_SIM} as bin, count(*) as edges from edges group by 1")
+def p11_all(spark: SparkSession, d: str) -> DataFrame:
+    return _all_edges(spark, d).groupBy(F.expr(_SIM).alias("bin")).agg(F.count("*").alias("edges"))
+
+
+@query("t2_all_top_edges", "with " + _TA + " select a, b, similarity from edges order by similarity desc, a, b limit 10")
+def t2_all(spark: SparkSession, d: str) -> DataFrame:
+    return _all_edges(spark, d).orderBy(F.desc("similarity"), "a", "b").limit(10)
+
+
+@query("f30_all_tfidf_top", "with " + _TA + ", o as (select id, term, round(w, 6) as w, row_number() over (partition by id order by round(w, 9) desc, term) as rn from v) select id, term, w from o where rn <= 3")
+def f30_all(spark: SparkSession, d: str) -> DataFrame:
+    return _top_terms(_all_texts(spark, d))
+
+
 

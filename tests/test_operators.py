@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import random
+from collections import Counter
 
 from notarium.operators import corpus, graph, tfidf, vectors, vocabulary
 from notarium.sources import files
@@ -74,6 +76,35 @@ def test_similar_loses_nothing(spark):
     assert brute and {(r["a"], r["b"]) for r in tfidf.similar(w, 0.7).collect()} == brute
 
 
+def test_near_dups_of_short_sections(spark, tmp_path):
+    from notarium.plans import catalogue
+
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(50)]
+    texts = [" ".join(rng.choice(words) for _ in range(n)) for n in [8] * 12 + [150] * 4]
+    texts += [t + " " + " ".join(t.split()[:3]) for t in texts] + ["", texts[0], None]
+    spark.createDataFrame([(f"s{i:03}", t, "p") for i, t in enumerate(texts)], "segment_id string, text string, source_path string").write.parquet(str(tmp_path / "segments.parquet"))
+    first = {}
+    for i, t in enumerate(texts):
+        if t is not None:
+            first.setdefault(t, f"s{i:03}")
+    tf = {}
+    for t, i in first.items():
+        w = t.split()
+        tf[i] = Counter(w + [f"{x} {y}" for x, y in zip(w, w[1:])])
+    df = Counter(t for c in tf.values() for t in c)
+    vec = {}
+    for i, c in tf.items():
+        raw = {t: (1 + math.log(k)) * (math.log((1 + len(tf)) / (1 + df[t])) + 1) for t, k in c.items() if df[t] >= 2}
+        length = math.sqrt(sum(x * x for x in raw.values()))
+        vec[i] = {t: x / length for t, x in raw.items()}
+    want = {(a, b): round(s, 4) for a in vec for b in vec if a < b and (s := sum(x * vec[b].get(t, 0) for t, x in vec[a].items())) >= 0.72}
+    short = {i for t, i in first.items() if len(t) < 400}
+    assert {len({*e} & short) for e in want} == {0, 2}
+    got = {(r["a"], r["b"]): r["similarity"] for r in catalogue.QUERIES["j6_all_near_dups"](spark, str(tmp_path)).collect()}
+    assert got.keys() == want.keys() and all(abs(got[e] - want[e]) < 2e-4 for e in want)
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "in" / "sub").mkdir(parents=True)
     (tmp_path / "in" / "rest-api.md").write_text("---\ntitle: T\n---\n# Hi\r\nword word\n", "utf-8")
