@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship
+from . import graph
 
 #: Rows of a query block and parts of the searched side.
 BLOCK, PARTS = 512, 16
+#: Rows of a block where all vectors meet all others.
+PAIR_BLOCK = 1024
 
 
 def _score(theta: float):
@@ -56,6 +59,50 @@ def search(vectors: DataFrame, queries: DataFrame, id_col: str, vec_col: str, th
     return both.groupBy("block", "part").applyInArrow(_score(theta), "query_id bigint, vec_id bigint, cosine double")
 
 
+def _score_blocks(theta: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, vecs, first = [], [], []
+        for b in batches:
+            ids.append(b.column("id").to_numpy())
+            vecs.append(b.column("v").flatten().to_numpy().reshape(b.num_rows, -1))
+            first.append(b.column("first").to_numpy(zero_copy_only=False))
+        i, v, left = np.concatenate(ids), np.concatenate(vecs), np.concatenate(first)
+        right = ~left
+        if not right.any():  # a block with itself
+            right = left
+        elif not left.any():
+            return
+        s = v[left] @ v[right].T
+        x, y = np.nonzero(s >= theta - 1e-9)
+        a, b = i[left][x], i[right][y]
+        keep = a < b if right is left else a != b
+        a, b, s = a[keep], b[keep], s[x, y][keep]
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(s)], ["a", "b", "cosine"])
+
+    return run
+
+
+def all_pairs(vectors: DataFrame, id_col: str, vec_col: str, theta: float) -> DataFrame:
+    """(a, b, cosine) of every two vectors within theta, a < b, exactly.
+
+    All rows fall into blocks by a hash of the id; each two blocks meet once, as
+    a matrix product.  Vectors are unit length; null vectors are left out.
+    """
+    ship(vectors.sparkSession)
+    v = vectors.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    blocks = max(1, -(-v.count() // PAIR_BLOCK))
+    own = F.pmod(F.xxhash64("id"), F.lit(blocks))
+    met = v.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    met = met.select(F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), (F.col("own") <= F.col("other")).alias("first"), "id", "v")
+    return met.groupBy("p", "q").applyInArrow(_score_blocks(theta), "a bigint, b bigint, cosine double")
+
+
+def classes(vectors: DataFrame, pairs: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    """(node, component): one row a vector, with the least vector it is connected with; one without pairs is its own."""
+    nodes = vectors.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("node")).distinct()
+    return nodes.join(graph.components(pairs, "a", "b"), "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+
+
 def mean_similarity(df: DataFrame, group: str, vec_col: str) -> DataFrame:
     """(group, n, mean): the mean cosine of all pairs of a group, from the length of the sum of its unit vectors; 0 for fewer than two."""
     parts = df.select(group, F.posexplode(vec_col).alias("i", "x")).groupBy(group, "i").agg(F.sum(F.col("x").cast("double")).alias("s"), F.count("*").alias("n"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators import graph, tfidf, vectors as op
-from ..session import table
+from ..session import keep, table
 from . import base as b
 from .registry import Registry
 
@@ -62,6 +62,59 @@ def a7v(spark: SparkSession, d: str) -> DataFrame:
     return graph.components(pairs.select(F.col("query_id").alias("src"), F.col("vec_id").alias("dst")))
 
 
+_A = "p as (select x.vec_id as a, y.vec_id as b, list_dot_product(x.embedding::double[], y.embedding::double[]) as cosine from embeddings x join embeddings y on x.vec_id < y.vec_id)"
+#: Fewest members of a group of thematic pairs.
+LEAST_MEMBERS = 3
+
+
+def _all_pairs(spark: SparkSession, d: str, theta: float) -> DataFrame:
+    return op.all_pairs(table(spark, d, "embeddings"), "vec_id", "embedding", theta).where(F.col("cosine") >= theta)
+
+
+def _reach(where: str) -> str:
+    """SQL of the components of some of the pairs."""
+    return f"e as (select a, b from p where {where} union select b, a from p where {where}), r as (select a as node, a as seen from e union select r.node, e.b from r join e on r.seen = e.a), k as (select node, min(seen) as component from r group by node)"
+
+
+@query("j8_all_pairs", b.with_(_A) + f"select a, b, round(cosine, 5) as cosine from p where cosine >= {THETA}")
+def j8_all(spark: SparkSession, d: str) -> DataFrame:
+    """All vectors near each other, where j8_pairs searches for a query set."""
+    return _all_pairs(spark, d, THETA).select("a", "b", F.round("cosine", 5).alias("cosine"))
+
+
+@query("a11_all_sim_histogram", b.with_(_A) + "select least(floor(cosine * 10), 9)::bigint as bin, count(*) as pairs from p where cosine >= 0 group by 1")
+def a11_all(spark: SparkSession, d: str) -> DataFrame:
+    return op.histogram(_all_pairs(spark, d, 0.0), "cosine")
+
+
+@query("f32_all_bands", b.with_(_A) + f"select band, count(*) as pairs from (select *, {_BAND} as band from p) where band is not null group by band")
+def f32_all(spark: SparkSession, d: str) -> DataFrame:
+    return _all_pairs(spark, d, 0.35).withColumn("band", F.expr(_BAND)).groupBy("band").agg(F.count("*").alias("pairs"))
+
+
+@query(
+    "t6_all_representative",
+    b.with_(_A).replace("with ", "with recursive ", 1)
+    + ", "
+    + _reach(f"{_BAND} = 'thematic'")
+    + f", n as (select component from k group by component having count(*) >= {LEAST_MEMBERS}) select component, a, b, round(cosine, 5) as cosine from (select component, p.*, row_number() over (partition by component order by round(cosine, 9) desc, a, b) as rn from p join k on k.node = p.a join n using (component) where {_BAND} = 'thematic') where rn = 1",
+)
+def t6_all(spark: SparkSession, d: str) -> DataFrame:
+    """The strongest thematic pair of each group of three or more vectors that thematic pairs connect."""
+    pairs = keep(_all_pairs(spark, d, 0.35).where(F.expr(_BAND) == "thematic"))
+    groups = graph.components(pairs, "a", "b")
+    large = groups.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_MEMBERS).select("component")
+    best = F.min_by(F.struct("a", "b", "cosine"), F.struct((-F.round("cosine", 9)).alias("c"), "a", "b"))
+    inside = pairs.join(groups.withColumnRenamed("node", "a"), "a").join(large, "component")
+    return inside.groupBy("component").agg(best.alias("x")).select("component", "x.a", "x.b", F.round("x.cosine", 5).alias("cosine"))
+
+
+@query("a7_all_vector_components", b.with_(_A).replace("with ", "with recursive ", 1) + ", " + _reach(f"cosine >= {THETA}") + " select vec_id as node, coalesce(component, vec_id) as component from embeddings left join k on node = vec_id where embedding is not null")
+def a7v_all(spark: SparkSession, d: str) -> DataFrame:
+    """One row a vector with its component over the links between all vectors."""
+    return op.classes(table(spark, d, "embeddings"), _all_pairs(spark, d, THETA), "vec_id", "embedding")
+
+
 #: Least similarity of sections that count as near-duplicates.
 EDGE = 0.72
 _T = ", ".join(

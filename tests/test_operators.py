@@ -62,6 +62,29 @@ def test_search(spark):
     assert got == {(a, b) for a in (0, 1) for b in range(9) if a != b and a % 3 == b % 3}
 
 
+def test_all_vectors_meet(spark, tmp_path, monkeypatch):
+    from notarium.plans import catalogue
+
+    monkeypatch.setattr(vectors, "PAIR_BLOCK", 16)
+    rng = random.Random(8)
+    rows = []
+    for i in range(90):
+        v = [rng.gauss(0, 1) for _ in range(8)]
+        length = math.sqrt(sum(x * x for x in v))
+        rows.append((i + 1, [x / length for x in v]))
+    dot = {(a, b): sum(x * y for x, y in zip(v, w)) for a, v in rows for b, w in rows if a < b}
+    df = spark.createDataFrame([*rows, (400, None)], "vec_id bigint, embedding array<double>")
+    got = {(r["a"], r["b"]): r["cosine"] for r in vectors.all_pairs(df, "vec_id", "embedding", 0.6).collect()}
+    want = {e for e, c in dot.items() if c >= 0.6}
+    assert want and got.keys() == want and all(abs(got[e] - dot[e]) < 1e-9 for e in want)
+    # links without an end that is divisible by 50, and vectors without links
+    axis = lambda k: [1.0 if j == k else 0.0 for j in range(5)]
+    rows = [(1, axis(0)), (2, axis(0)), (3, axis(0)), (7, axis(1)), (8, axis(1)), (9, axis(2)), (50, axis(3))]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = {r["node"]: r["component"] for r in catalogue.QUERIES["a7_all_vector_components"](spark, str(tmp_path)).collect()}
+    assert found == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 9: 9, 50: 50}
+
+
 def test_similar_loses_nothing(spark):
     rng = random.Random(4)
     words = [f"w{i}" for i in range(60)]
