@@ -39,6 +39,8 @@ SAMPLE_CHARS = 20_000
 LEAST_LETTERS = 24
 LEAST_LEAD = 0.1
 LEAST_SENTENCE = 20
+#: Paragraphs that are classified at once: their numbers have 16 bits.
+MOST_ROWS = 1 << 16
 
 #: Names of each language as labels give them.
 NAMES = {
@@ -169,6 +171,13 @@ class Profiles:
 
     def nearest(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each paragraph the index of the nearest language, its lead over the next one, and its letters."""
+        if len(texts) <= MOST_ROWS:
+            return self._nearest(texts)
+        parts = [self._nearest(texts[k : k + MOST_ROWS]) for k in range(0, len(texts), MOST_ROWS)]
+        return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+
+    def _nearest(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same of at most MOST_ROWS paragraphs, whose numbers fit beside an n-gram's in 32 bits."""
         self._prepare()
         n = len(texts)
         row, gram, letters = grams(texts, self._symbols)

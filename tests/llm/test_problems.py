@@ -300,6 +300,20 @@ def test_mixing(spark):
 # --- languages, markup, sentences ---------------------------------------------------------
 
 
+def test_many_paragraphs_keep_their_language():
+    model = languages.fit_profiles([])
+    n = 65_536 + 40
+    texts = [""] * n
+    places = {0: "de", 17: "fr", 65_535: "en", 65_536: "es", n - 1: "it"}
+    for k, lang in places.items():
+        texts[k] = languages.SEED[lang]
+    best, lead, letters = model.nearest(texts)
+    assert len(best) == len(lead) == len(letters) == n
+    for k, lang in places.items():
+        b, ahead, size = model.nearest([languages.SEED[lang]])
+        assert languages.LANGUAGES[best[k]] == lang and (best[k], lead[k], letters[k]) == (b[0], ahead[0], size[0])
+
+
 def test_languages(spark):
     rows = [("a", languages.SEED["de"] + "\n\n" + languages.SEED["fr"], '{"lang": "de"}'), ("b", languages.SEED["en"], '{"language": " EN-gb "}'), ("c", languages.SEED["ja"], None), ("d", "# Kopf\n\n```\nfor the and of to in\n```", None), ("e", None, None), ("f", languages.SEED["es"] + "\n\n> " + languages.SEED["it"], '{"sprache": "Español"}')]
     df = languages.with_label(spark.createDataFrame(rows + rows[:1], "doc_id string, body string, frontmatter string"))
