@@ -120,3 +120,27 @@ def sweep(pairs: DataFrame, c: str, thresholds: list[float], node: str) -> DataF
     """(theta, edges, nodes) at each threshold in one pass."""
     t = pairs.withColumn("theta", F.explode(F.filter(F.array(*map(F.lit, thresholds)), lambda x: F.col(c) >= x)))
     return t.groupBy("theta").agg(F.count("*").alias("edges"), F.count_distinct(node).alias("nodes"))
+
+
+def simulate(vectors: DataFrame, pairs: DataFrame, id_col: str, vec_col: str, thresholds: list[float], least: int = 3) -> DataFrame:
+    """(theta, clusters, top_size, mean_size, unsorted_pct): the components at each threshold, all in one pass.
+
+    ``pairs`` has (a, b, cosine) of every two vectors within the least
+    threshold. A cluster has ``least`` members or more, two at least; the share of vectors in
+    none is in per cent. A node is a vector at a threshold.
+    """
+    steps = F.array(*map(F.lit, thresholds))
+    at = lambda c: F.struct("theta", F.col(c).alias("id")).alias(c)
+    links = pairs.withColumn("theta", F.explode(F.filter(steps, lambda x: F.col("cosine") >= x))).select(at("a"), at("b"))
+    nodes = vectors.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id")).distinct()
+    joined = graph.components(links, "a", "b").groupBy("component").agg(F.count("*").alias("size")).select("component.theta", "size")
+    large = joined.where(F.col("size") >= least).groupBy("theta").agg(F.count("*").alias("clusters"), F.max("size").alias("top"), F.sum("size").alias("inside"))
+    every = nodes.agg(F.count("*").alias("n")).withColumn("theta", F.explode(steps)).join(large, "theta", "left")
+    inside = F.coalesce("inside", F.lit(0))
+    return every.select(
+        "theta",
+        F.coalesce("clusters", F.lit(0)).alias("clusters"),
+        F.coalesce("top", F.lit(0)).alias("top_size"),
+        F.when(F.col("clusters") > 0, F.bround(F.col("inside") / F.col("clusters"), 1)).otherwise(0.0).alias("mean_size"),
+        F.when(F.col("n") > 0, F.bround((F.col("n") - inside) / F.col("n") * 100, 1)).otherwise(0.0).alias("unsorted_pct"),
+    )

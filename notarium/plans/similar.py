@@ -115,6 +115,12 @@ def a7v_all(spark: SparkSession, d: str) -> DataFrame:
     return op.classes(table(spark, d, "embeddings"), _all_pairs(spark, d, THETA), "vec_id", "embedding")
 
 
+@query("a12_all_threshold_clusters")
+def a12_all(spark: SparkSession, d: str) -> DataFrame:
+    """Clusters, largest and mean size and unsorted share at each threshold, over the links of all vectors."""
+    return op.simulate(table(spark, d, "embeddings"), _all_pairs(spark, d, 0.2), "vec_id", "embedding", [0.2, 0.3, 0.4])
+
+
 #: Least similarity of sections that count as near-duplicates.
 EDGE = 0.72
 _T = ", ".join(

@@ -85,6 +85,20 @@ def test_all_vectors_meet(spark, tmp_path, monkeypatch):
     assert found == {1: 1, 2: 1, 3: 1, 7: 7, 8: 7, 9: 9, 50: 50}
 
 
+def test_threshold_clusters(spark):
+    rng = random.Random(9)
+    ids = list(range(1, 61))
+    pairs = [(a, b, rng.random()) for a in ids for b in ids if a < b and rng.random() < 0.04]
+    df = spark.createDataFrame([(i, [1.0]) for i in ids], "vec_id bigint, v array<double>")
+    p = spark.createDataFrame(pairs, "a bigint, b bigint, cosine double")
+    got = {r["theta"]: tuple(r)[1:] for r in vectors.simulate(df, p, "vec_id", "v", [0.1, 0.5, 0.8, 2.0]).collect()}
+    assert got.keys() == {0.1, 0.5, 0.8, 2.0} and got[2.0] == (0, 0, 0.0, 100.0)
+    for theta, found in got.items():
+        sizes = [n for n in Counter(brute_components([(a, b) for a, b, c in pairs if c >= theta]).values()).values() if n >= 3]
+        assert found == (len(sizes), max(sizes, default=0), round(sum(sizes) / len(sizes), 1) if sizes else 0.0, round((60 - sum(sizes)) / 60 * 100, 1))
+    assert {tuple(r)[1:] for r in vectors.simulate(df.where("false"), p.where("false"), "vec_id", "v", [0.1]).collect()} == {(0, 0, 0.0, 0.0)}
+
+
 def test_similar_loses_nothing(spark):
     rng = random.Random(4)
     words = [f"w{i}" for i in range(60)]
