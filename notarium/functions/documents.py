@@ -201,6 +201,25 @@ def sections(body: str) -> list[tuple[list[str], list[str]]]:
     return [(p, ls) for p, ls in out if any(x.strip() for x in ls)]
 
 
+def book_parts(body: str, most: int = 5000) -> list[tuple[list[str], str]]:
+    """(path, text) of adjacent sections with the same first two headings, merged, and split between blocks above the word budget."""
+    merged: list[tuple[list[str], list[str]]] = []
+    for path, lines in sections(body):
+        if merged and merged[-1][0] == path[:2]:
+            merged[-1][1].extend(["", *lines])
+        else:
+            merged.append((path[:2], list(lines)))
+    out = []
+    for path, lines in merged:
+        text = "\n".join(lines)
+        if _count(text) <= most:
+            out.append((path, text))
+            continue
+        parts = ["\n".join(x) for x in blocks(lines)]
+        out += [(path, "\n\n".join(parts[i] for i in pack)) for pack in pack_blocks([_count(x) for x in parts], most)]
+    return out
+
+
 def segments(body: str, least: int = 150, most: int = 1500) -> list[tuple[int, list[str], str]]:
     """(index, heading path, text) of a document's segments.
 

@@ -93,16 +93,10 @@ def w13(spark: SparkSession, d: str) -> DataFrame:
 def w15(spark: SparkSession, d: str) -> DataFrame:
     """Adjacent sections with the same first two headings, merged and split at a word budget."""
 
-    def merged(t: str):
-        out: list[list] = []
-        for p, ls in fn.sections(t):
-            if out and out[-1][0] == p[:2]:
-                out[-1][1] += len(" ".join(ls).split())
-            else:
-                out.append([p[:2], len(" ".join(ls).split())])
-        return [(i, " > ".join(p), n) for i, (p, n) in enumerate(out)]
-
-    return fn.map_texts(_bodies(spark, d), "doc_id", "body", merged, "part int, path string, words int")
+    def parts(t: str):
+        return [(i, " > ".join(p), len(x.split())) for i, (p, x) in enumerate(fn.book_parts(t))]
+
+    return fn.map_texts(_bodies(spark, d), "doc_id", "body", parts, "part int, path string, words int")
 
 
 @query("d1_repair")
