@@ -2,8 +2,9 @@
 
 Prefix-tree hash forest.  Each class of equal shingle sets has, for every tree,
 a 64-bit key of four 16-bit min-hashes.  The keys are persisted as sorted runs;
-a batch finds its neighbours as the entries that share a key's first hashes,
-which is a range of the sorted run.  The shared length starts at the whole key
+a batch finds its neighbours as the entries that share a key's first hashes.
+They are joined by equality of hashed prefixes with all runs, not looked up as
+a range of the sorted run.  The shared length starts at the whole key
 and is widened until the chance to miss a pair at the threshold is below the
 recall target.  Candidates are then compared shingle by shingle, so what comes
 out is right; the target is the expected share of pairs exactly at the
