@@ -2,7 +2,8 @@
 
 Rank-order profiles: the n-grams (n = 1 to 3) of a paragraph, most frequent
 first, are compared with each language's profile by the out-of-place distance;
-an n-gram that a profile lacks counts the most.  The profiles are trained here,
+an n-gram that a profile lacks counts the most, and one that no profile holds
+still takes its rank.  The profiles are trained here,
 on a bounded sample of rows by their own labels (``SAMPLE_ROWS`` of each
 language); as labels may be wrong, a second pass keeps only paragraphs that the
 first profiles place where the label does.  A short text of every language is
@@ -10,7 +11,8 @@ always part of the training, so none lacks a profile on small inputs.
 
 Prose is what is not heading, list, quote, table, code, formula or markup.  A
 paragraph with too few letters, or with two languages almost equally near,
-takes the language of the rest of the text.  Null, empty and prose-free texts
+takes the language of the rest of the text; one whose n-grams next to no
+profile holds is of a language without a profile (``und``).  Null, empty and prose-free texts
 have no language (null) and are no case; repeated rows count once; further
 columns are ignored; equal distances go to the first code by alphabet.
 """
@@ -26,6 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ship, table
+from .batches import slices
 from .codepoints import DENSE, GONE, LETTER, tables, to_points
 from .markdown import without_fences
 
@@ -33,14 +36,13 @@ LANGUAGES = ["de", "el", "en", "es", "fr", "hi", "it", "ja", "nl", "ru", "th", "
 PROFILE = 500
 TABLE_BITS = 17
 SAMPLE_ROWS = 150
-#: Texts above this size are not sampled for training; every text is classified whole.
-SAMPLE_CHARS = 20_000
 #: Letters a paragraph needs (a dense letter counts three) and the least lead of the nearest language.
 LEAST_LETTERS = 24
 LEAST_LEAD = 0.1
 LEAST_SENTENCE = 20
-#: Paragraphs that are classified at once: their numbers have 16 bits.
-MOST_ROWS = 1 << 16
+#: A paragraph of whose n-grams no more than this share is in any profile is in a language or script that has none: 'und'.
+LEAST_HELD = 0.1
+ASSIGNED = [*LANGUAGES, "und"]
 
 #: Names of each language as labels give them.
 NAMES = {
@@ -169,36 +171,33 @@ class Profiles:
             out[miss] = np.where(self._lost_keys[at] == keys[miss], self._lost_ids[at], -1)
         return out
 
-    def nearest(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each paragraph the index of the nearest language, its lead over the next one, and its letters."""
-        if len(texts) <= MOST_ROWS:
-            return self._nearest(texts)
-        parts = [self._nearest(texts[k : k + MOST_ROWS]) for k in range(0, len(texts), MOST_ROWS)]
-        return tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+    def nearest(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each paragraph the index of the nearest language, its lead over the next one, its letters, and the share of its n-grams that some profile holds.
 
-    def _nearest(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The same of at most MOST_ROWS paragraphs, whose numbers fit beside an n-gram's in 32 bits."""
+        Ranks are those among all n-grams of the paragraph, most frequent first; equally frequent ones
+        share their mean rank.  An n-gram of no profile takes its rank, but adds the same to every language.
+        """
         self._prepare()
         n = len(texts)
         row, gram, letters = grams(texts, self._symbols)
-        ids = self._ids(gram)
-        hit = np.flatnonzero(ids >= 0)
-        key = (row[hit].astype(np.uint32) << np.uint32(16)) | ids[hit].astype(np.uint32)
+        key = (row.astype(np.uint64) << np.uint64(32)) | gram
         key.sort()
         if not len(key):
-            return np.zeros(n, np.int64), np.zeros(n), letters
+            return np.zeros(n, np.int64), np.zeros(n), letters, np.zeros(n)
         first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         times = np.minimum(np.diff(np.append(first, len(key))), 65535)
         key = key[first]
-        key = key.astype(np.uint64)
-        ranked = ((key >> np.uint64(16)) << np.uint64(32)) | ((65535 - times).astype(np.uint64) << np.uint64(16)) | (key & np.uint64(0xFFFF))
+        ids = self._ids((key & np.uint64(0xFFFFFFFF)).astype(np.uint32)).astype(np.uint16)  # 65,535 for one of no profile
+        ranked = ((key >> np.uint64(32)) << np.uint64(32)) | ((65535 - times).astype(np.uint64) << np.uint64(16)) | ids
         ranked.sort()
-        row = (ranked >> np.uint64(32)).astype(np.int64)
         ids = (ranked & np.uint64(0xFFFF)).astype(np.int64)
+        tie = np.flatnonzero(np.concatenate([[True], (ranked[1:] >> np.uint64(16)) != (ranked[:-1] >> np.uint64(16)), [True]]))
+        row = (ranked >> np.uint64(32)).astype(np.int64)
         at = np.searchsorted(row, np.arange(n + 1))
-        rank = np.arange(len(row)) - at[row]
-        use = rank < PROFILE
-        row, ids, rank = row[use], ids[use], rank[use].astype(np.int32)
+        mean = np.repeat((tie[:-1] + tie[1:] - 1) / 2, np.diff(tie)) - at[row]
+        held = ids != 65535
+        of_all, of_held = np.diff(at), np.bincount(row[held], minlength=n)
+        row, ids, rank = row[held], ids[held], np.minimum(mean[held], PROFILE).astype(np.int32)
         at = np.searchsorted(row, np.arange(n + 1))
         some = np.flatnonzero(np.diff(at) > 0)
         far = np.zeros((len(self.ranks), n))
@@ -208,7 +207,7 @@ class Profiles:
             far[k, some] = np.add.reduceat(apart, at[some]) if len(some) else 0
         order = np.argsort(far, axis=0, kind="stable")
         best, second = np.take_along_axis(far, order[:2], 0)
-        return order[0], np.where(second > 0, (second - best) / np.maximum(second, 1), 0.0), letters
+        return order[0], np.where(second > 0, (second - best) / np.maximum(second, 1), 0.0), letters, of_held / np.maximum(of_all, 1)
 
 
 def grams(texts: list[str], symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -266,7 +265,7 @@ def fit_profiles(rows: list[tuple[str, str]]) -> Profiles:
             first.setdefault(lang, []).append(p)
     profiles = train(first)
     if spread:
-        best, _, letters = profiles.nearest([p for _, p in spread])
+        best, _, letters, _ = profiles.nearest([p for _, p in spread])
         second = {k: [v] for k, v in SEED.items()}
         for (lang, p), b, n in zip(spread, best.tolist(), letters.tolist(), strict=True):
             if n >= LEAST_LETTERS and LANGUAGES[b] == lang:
@@ -290,9 +289,9 @@ def with_label(df: DataFrame) -> DataFrame:
 
 
 def sample_profiles(df: DataFrame, id_col: str, text_col: str, label_col: str, rows: int = SAMPLE_ROWS) -> Profiles:
-    """Profiles from at most ``rows`` rows of each language, chosen by a hash of the id among texts of up to SAMPLE_CHARS."""
+    """Profiles from at most ``rows`` whole texts of each language, chosen by a hash of the id."""
     first = Window.partitionBy(label_col).orderBy(F.xxhash64(id_col), id_col)
-    ids = df.where(F.col(label_col).isin(LANGUAGES) & F.col(id_col).isNotNull() & (F.length(text_col) <= SAMPLE_CHARS)).select(id_col, label_col).withColumn("k", F.row_number().over(first)).where(F.col("k") <= rows).select(id_col)
+    ids = df.where(F.col(label_col).isin(LANGUAGES) & F.col(id_col).isNotNull()).select(id_col, label_col).withColumn("k", F.row_number().over(first)).where(F.col("k") <= rows).select(id_col)
     chosen = [r[0] for r in ids.collect()]  # rows x languages at most
     got = df.where(F.col(id_col).isin(chosen) & F.col(text_col).isNotNull()).select(id_col, label_col, text_col).collect() if chosen else []
     return fit_profiles(sorted({(r[1], r[2]) for r in got if r[1] in LANGUAGES}))
@@ -304,44 +303,44 @@ FOUND = "doc_id string, label string, lang string, confidence double, paragraph_
 def _assign(profiles):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model: Profiles = profiles.value
-        for whole in batches:
-            for begin in range(0, whole.num_rows, 400):
-                batch = whole.slice(begin, 500)
-                ids, labels, texts = (batch.column(i).to_pylist() for i in range(3))
-                parts, owner, number = [], [], []
-                for i, text in enumerate(texts):
-                    for k, p in enumerate(paragraphs(text), 1):
-                        parts.append(p)
-                        owner.append(i)
-                        number.append(k)
-                if not parts:
-                    continue
-                best, lead, letters = model.nearest(parts)
-                owner = np.array(owner)
-                sure = (letters >= LEAST_LETTERS) & (lead >= LEAST_LEAD)
-                # the language of a text: that of most letters in sure paragraphs, else in all
-                weight = np.zeros((len(texts), len(LANGUAGES)))
-                np.add.at(weight, (owner, best), np.where(sure, letters, letters * 1e-6))
-                main = weight.argmax(1)
-                other = np.flatnonzero(sure & (best != main[owner]))
-                if len(other):  # a paragraph that has a sentence in the text's language is not wholly foreign
-                    bits = [(k, x) for k in other.tolist() for x in _SENTENCE.split(parts[k]) if len(x) > 6]
-                    if bits:
-                        at, ahead, size = model.nearest([x for _, x in bits])
-                        of = np.array([k for k, _ in bits])
-                        own = of[(at == main[owner[of]]) & (ahead >= LEAST_LEAD) & (size >= LEAST_SENTENCE)]
-                        sure[own] = False
-                lang = np.where(sure, best, main[owner])
-                kinds = np.zeros((len(texts), len(LANGUAGES)), bool)
-                kinds[owner[sure], best[sure]] = True
-                mixed = kinds.sum(1) > 1
-                prose = np.flatnonzero(weight[owner].sum(1) > 0)
-                prose = prose[(letters[prose] >= LEAST_LETTERS) | ~kinds[owner[prose]].any(1) & (letters[prose] > 8)]
-                take = owner[prose]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([ids[i] for i in take], pa.string()), pa.array([labels[i] for i in take], pa.string()), pa.array([LANGUAGES[k] for k in lang[prose]], pa.string()), pa.array(np.round(np.minimum(1.0, lead[prose] * 4), 4)), pa.array([number[i] for i in prose], pa.int32()), pa.array(letters[prose].astype(np.int32)), pa.array(mixed[take])],
-                    ["doc_id", "label", "lang", "confidence", "paragraph_no", "letters", "mixed"],
-                )
+        for batch in slices(batches, "text"):
+            ids, labels, texts = (batch.column(i).to_pylist() for i in range(3))
+            parts, owner, number = [], [], []
+            for i, text in enumerate(texts):
+                for k, p in enumerate(paragraphs(text), 1):
+                    parts.append(p)
+                    owner.append(i)
+                    number.append(k)
+            if not parts:
+                continue
+            best, lead, letters, held = model.nearest(parts)
+            unlike = (held <= LEAST_HELD) & (letters >= LEAST_LETTERS)
+            best, lead = np.where(unlike, len(LANGUAGES), best), np.where(unlike, LEAST_LEAD, lead)
+            owner = np.array(owner)
+            sure = (letters >= LEAST_LETTERS) & (lead >= LEAST_LEAD)
+            # the language of a text: that of most letters in sure paragraphs, else in all
+            weight = np.zeros((len(texts), len(ASSIGNED)))
+            np.add.at(weight, (owner, best), np.where(sure, letters, letters * 1e-6))
+            main = weight.argmax(1)
+            other = np.flatnonzero(sure & (best != main[owner]))
+            if len(other):  # a paragraph that has a sentence in the text's language is not wholly foreign
+                bits = [(k, x) for k in other.tolist() for x in _SENTENCE.split(parts[k]) if len(x) > 6]
+                if bits:
+                    at, ahead, size, _ = model.nearest([x for _, x in bits])
+                    of = np.array([k for k, _ in bits])
+                    own = of[(at == main[owner[of]]) & (ahead >= LEAST_LEAD) & (size >= LEAST_SENTENCE)]
+                    sure[own] = False
+            lang = np.where(sure, best, main[owner])
+            kinds = np.zeros((len(texts), len(ASSIGNED)), bool)
+            kinds[owner[sure], best[sure]] = True
+            mixed = kinds.sum(1) > 1
+            prose = np.flatnonzero(weight[owner].sum(1) > 0)
+            prose = prose[(letters[prose] >= LEAST_LETTERS) | ~kinds[owner[prose]].any(1) & (letters[prose] > 8)]
+            take = owner[prose]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([ids[i] for i in take], pa.string()), pa.array([labels[i] for i in take], pa.string()), pa.array([ASSIGNED[k] for k in lang[prose]], pa.string()), pa.array(np.round(np.minimum(1.0, lead[prose] * 4), 4)), pa.array([number[i] for i in prose], pa.int32()), pa.array(letters[prose].astype(np.int32)), pa.array(mixed[take])],
+                ["doc_id", "label", "lang", "confidence", "paragraph_no", "letters", "mixed"],
+            )
 
     return run
 

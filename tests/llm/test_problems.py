@@ -307,10 +307,10 @@ def test_many_paragraphs_keep_their_language():
     places = {0: "de", 17: "fr", 65_535: "en", 65_536: "es", n - 1: "it"}
     for k, lang in places.items():
         texts[k] = languages.SEED[lang]
-    best, lead, letters = model.nearest(texts)
-    assert len(best) == len(lead) == len(letters) == n
+    best, lead, letters, held = model.nearest(texts)
+    assert len(best) == len(lead) == len(letters) == len(held) == n
     for k, lang in places.items():
-        b, ahead, size = model.nearest([languages.SEED[lang]])
+        b, ahead, size, _ = model.nearest([languages.SEED[lang]])
         assert languages.LANGUAGES[best[k]] == lang and (best[k], lead[k], letters[k]) == (b[0], ahead[0], size[0])
 
 
@@ -324,6 +324,38 @@ def test_languages(spark):
     assert by == {"a": {("de", True, "de"), ("fr", True, "de")}, "b": {("en", False, "en")}, "c": {("ja", False, None)}, "f": {("es", False, "es")}}
 
 
+def test_each_paragraph_comes_out_once(spark):
+    rows = [(f"d{i:04}", languages.SEED["en"] if i % 3 else languages.SEED["de"] + "\n\n" + languages.SEED["ru"], None) for i in range(1000)]
+    rows.append(("ar", "يولد جميع الناس أحرارا متساوين في الكرامة والحقوق وقد وهبوا عقلا وضميرا", None))
+    df = languages.with_label(spark.createDataFrame(rows, "doc_id string, body string, frontmatter string")).coalesce(1)
+    out = languages.paragraph_languages(df, "doc_id", "body", "label").collect()
+    assert len(out) == len({(r["doc_id"], r["paragraph_no"]) for r in out}) == 334 * 2 + 666 + 1
+    assert [r["lang"] for r in out if r["doc_id"] == "ar"] == ["und"]
+
+
+def test_ranks_are_those_among_all_own_ngrams():
+    """Against the definition, one paragraph at a time."""
+    model = languages.fit_profiles([])
+    model._prepare()
+    for lang, text in languages.SEED.items():
+        _, gram, _ = languages.grams([text], model._symbols)
+        times = Counter(gram.tolist())
+        order = sorted(times.values(), reverse=True)
+        far = []
+        for ranks in model.ranks:
+            known = dict(zip(model.keys.tolist(), ranks.tolist(), strict=True))
+            d = 0
+            for g, n in times.items():
+                if g in known:
+                    rank = int(min(order.index(n) + (order.count(n) - 1) / 2, languages.PROFILE))
+                    d += abs(known[g] - rank) if known[g] < languages.PROFILE else languages.PROFILE
+            far.append(d)
+        best, lead, _, held = model.nearest([text])
+        low = sorted(far)
+        assert languages.LANGUAGES[best[0]] == lang == languages.LANGUAGES[far.index(low[0])]
+        assert abs(lead[0] - (low[1] - low[0]) / low[1]) < 1e-12 and 0 < held[0] <= 1
+
+
 def test_markup():
     assert markup.kinds_of_body("a <b>x</b> '''y''' \\textbf{z}") == {"html", "wiki", "latex"}
     for own in ("List<String> x < y > Z", "a == b == C", "C:\\notes\\setup\\X", "Q&A & 5 < 7", "<https://a.example/x>", "[[link|alias]] ![[embed]]", "$\\frac{1}{2}$ and $$\\sum_{i}$$", "`<b>` and `{{x}}`", "```\n<p>\n```", "> [!note] text", ""):
