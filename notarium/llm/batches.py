@@ -13,8 +13,8 @@ SLICE_BYTES = 1 << 20
 SLICE_ROWS = 8192
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str | list[str]) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the named text columns hold about SLICE_BYTES; a longer row is a slice of its own."""
+def slices(batches: Iterator[pa.RecordBatch], column: str | list[str], most_bytes: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that the named text columns hold about ``most_bytes``; a longer row is a slice of its own."""
     names = [column] if isinstance(column, str) else column
     for batch in batches:
         n = batch.num_rows
@@ -26,7 +26,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str | list[str]) -> Iterat
             size[1:] += np.cumsum(length.to_numpy(zero_copy_only=False), dtype=np.int64)
         begin = 0
         while begin < n:
-            end = int(np.searchsorted(size, size[begin] + SLICE_BYTES, side="right")) - 1
+            end = int(np.searchsorted(size, size[begin] + most_bytes, side="right")) - 1
             end = min(max(end, begin + 1), begin + SLICE_ROWS, n)
             yield batch.slice(begin, end - begin)
             begin = end

@@ -1,19 +1,19 @@
 """Problem 7: groups of records whose texts are nearly the same.
 
 Adaptive multi-match prefixes.  A text is the set of its shingles.  All
-shingles have one global order, rare ones first (a fixed-size count sketch over
-every text gives the frequencies).  Two sets of similarity t or more share at
-least k of the first n - ceil(t n) + k shingles of each, for every k up to
-ceil(t n).  Each text picks its own k: a longer prefix costs more postings but
-fewer candidates, as a pair needs min(k_a, k_b) shared prefix shingles before
-it is verified.  No pair at or above the threshold is lost, and every pair that
-comes out was compared shingle by shingle.
+shingles have one global order, rare ones first (a count sketch over every text
+gives the frequencies).  Two sets of similarity t or more share at least k of
+the first n - ceil(t n) + k shingles of each, for every k up to ceil(t n).  Each
+text picks its own k: a longer prefix costs more postings but fewer candidates,
+as a pair needs min(k_a, k_b) shared prefix shingles before it is verified.  No
+pair at or above the threshold is lost, and every pair that comes out was
+compared shingle by shingle.
 
 Equal sets are one class from the start, so a third of all rows being copies
-costs one prefix per task.  Pairs meet by prefix shingle in tasks; before a
-pair leaves its task an upper bound of its overlap (from the counts of
-shingles in 128 buckets, and from the positions) has to reach the threshold.
-Prefix shingles that are frequent are split into blocks over several tasks.
+costs one prefix per task.  Pairs meet by prefix shingle in parts whose number
+follows the size of the data.  A match counts only in as much of both prefixes
+as the two sizes ask for.  Prefix shingles that are frequent are split into
+blocks of bounded size that meet pairwise, each pair in one part.
 
 Null, empty and blank texts belong to no class.  Texts too short for a shingle are
 classed by their text as it looks, so they pair only with equal ones.  Repeated
@@ -36,17 +36,20 @@ from .batches import slices
 from .codepoints import SPACE, fold_points, tables, take_rows, to_points
 from .wordset import TOKEN_BITS, mix, set_ids, token_sets
 
-#: Counters of the frequency sketch: 2**SKETCH_BITS, however large the input.
-SKETCH_BITS = 23
+#: Counters of the frequency sketch: as many as there are shingles, 2**MOST_SKETCH_BITS at most (a byte each).
+LEAST_SKETCH_BITS, MOST_SKETCH_BITS = 20, 25
 SKETCH_BLOCKS = 64
-#: Longest extra prefix, and what verifying a candidate costs in postings.
+#: Longest extra prefix, and what verifying a candidate costs in matches.
 MOST_MATCHES = 24
 VERIFY_COST = 4
 #: Postings of one shingle that one block holds at most before it is split.
 HOT = 4096
 #: Matches that a task holds before it hands them on.
 MOST_HELD = 4_000_000
-BUCKETS = 128
+#: Tokens of the sets, in bytes, for each part in which pairs meet: the parts grow with the data, what a task holds does not.
+PART_BYTES = 4 << 20
+#: Tokens that a task orders at once, in bytes.
+ORDER_BYTES = 4 << 20
 #: Bits of the filter that says which sets have candidates.
 FILTER_BITS = 24
 #: Bytes of a token at rest. Two shingles of a pair of texts of n shingles meet with a chance of n * n / 2**32.
@@ -81,12 +84,9 @@ SETS = "kind int, doc_id string, class_id bigint, tokens binary"
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind 0: a record with its class; kind 1: the tokens of a class, once a task at least; kind 2: a block of the count sketch."""
-    counts = np.zeros(1 << SKETCH_BITS, np.uint32)
+    """Kind 0: a record with its class; kind 1: the tokens of a class, once a task at least."""
     seen: set[int] = set()
-    any_row = False
     for batch in slices(batches, "text"):
-        any_row = True
         points, at = fold_points(*to_points(batch.column(1)))
         shown = np.diff(np.concatenate([[0], np.cumsum((tables()["kind"][points] & SPACE) == 0)])[at])
         if not shown.all():  # nothing but white space is empty
@@ -105,20 +105,12 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if c not in seen:
                 seen.add(c)
                 fresh[i] = to[i + 1] > to[i]
-        if fresh.any():
-            counted, times = np.unique(bucket_of(tokens[fresh[row]] >> _SHIFT), return_counts=True)
-            counts[counted] += times.astype(np.uint32)
         yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), batch.column(0).cast(pa.string()), pa.array(ids), pa.nulls(n, pa.binary())], ["kind", "doc_id", "class_id", "tokens"])
         if fresh.any():
             part = pack(tokens[fresh[row]])
             ends = np.concatenate([[0], np.cumsum(np.diff(to)[fresh])]) * TOKEN_BYTES
             k = int(fresh.sum())
             yield pa.RecordBatch.from_arrays([pa.array(np.ones(k, np.int32)), pa.nulls(k, pa.string()), pa.array(ids[fresh]), binary(part, ends)], ["kind", "doc_id", "class_id", "tokens"])
-    if any_row:
-        blocks = np.minimum(counts, 65535).astype("<u2").reshape(SKETCH_BLOCKS, -1)
-        for b in range(SKETCH_BLOCKS):
-            if blocks[b].any():
-                yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.nulls(1, pa.string()), pa.array([b], pa.int64()), pa.array([zlib.compress(blocks[b].tobytes(), 1)], pa.binary())], ["kind", "doc_id", "class_id", "tokens"])
 
 
 def hash_bytes(points: np.ndarray) -> int:
@@ -131,161 +123,185 @@ def hash_bytes(points: np.ndarray) -> int:
     return int(h)
 
 
+def _count(bits: int):
+    """Tokens to blocks of counters."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << bits, np.uint32)
+        for batch in slices(batches, "tokens", ORDER_BYTES):
+            data, _ = binary_points(batch.column(0))
+            bucket, times = np.unique(bucket_of(unpack(data), bits), return_counts=True)
+            counts[bucket] += times.astype(np.uint32)
+        for b, block in enumerate(counts.reshape(SKETCH_BLOCKS, -1)):
+            if block.any():
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([zlib.compress(block.astype("<u4").tobytes(), 1)], pa.binary())], ["block", "counts"])
+
+    return run
+
+
 def _add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[int, np.ndarray] = {}
     for batch in batches:
         for b, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            part = np.frombuffer(zlib.decompress(data), "<u2").astype(np.uint32)
+            part = np.frombuffer(zlib.decompress(data), "<u4").astype(np.uint64)
             totals[b] = totals[b] + part if b in totals else part
     for b, total in totals.items():
-        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([zlib.compress(np.minimum(total, 65535).astype("<u2").tobytes(), 1)], pa.binary())], ["block", "counts"])
+        yield pa.RecordBatch.from_arrays([pa.array([b], pa.int64()), pa.array([zlib.compress(level_of(total).tobytes(), 1)], pa.binary())], ["block", "counts"])
+
+
+def level_of(counts: np.ndarray) -> np.ndarray:
+    """Counts as a byte on a logarithmic scale, eight steps for each doubling: 0 and 1 are themselves, 255 stands for two thousand million."""
+    return np.where(counts > 1, np.minimum(1 + np.ceil(8 * np.log2(np.maximum(counts, 1).astype(float))), 255), counts).astype(np.uint8)
+
 
+#: The count of each level.
+LEVELS = np.concatenate([[0], np.round(2.0 ** (np.arange(255) / 8))]).astype(np.int64)
 
-def sketch(sets: DataFrame) -> bytes:
-    """The count sketch of all texts: a fixed 16 MB, whatever the input."""
-    blocks = sets.where("kind = 2").select(F.col("class_id").alias("block"), F.col("tokens").alias("counts")).repartition(SKETCH_BLOCKS // 8, "block").mapInArrow(_add_blocks, "block bigint, counts binary")
-    out = np.zeros((SKETCH_BLOCKS, (1 << SKETCH_BITS) // SKETCH_BLOCKS), "<u2")
+
+def sketch(tokens: DataFrame, bits: int) -> bytes:
+    """Levels of the counts of all tokens: 2**bits bytes, 32 MB at most."""
+    blocks = tokens.select("tokens").mapInArrow(_count(bits), "block bigint, counts binary").repartition(SKETCH_BLOCKS // 8, "block").mapInArrow(_add_blocks, "block bigint, counts binary")
+    out = np.zeros((SKETCH_BLOCKS, (1 << bits) // SKETCH_BLOCKS), np.uint8)
     for r in blocks.collect():  # SKETCH_BLOCKS rows at most
-        out[r["block"]] = np.frombuffer(zlib.decompress(r["counts"]), "<u2")
+        out[r["block"]] = np.frombuffer(zlib.decompress(r["counts"]), np.uint8)
     return out.tobytes()
 
 
-def _prefixes(counts, keys: list[int], up: int, down: int):
-    """(class, tokens) to packed prefix records for each part; similarity up / down."""
+def scattered(tokens: np.ndarray) -> np.ndarray:
+    """A 32-bit number in another order; different ones stay different."""
+    x = tokens.astype(np.uint32) * np.uint32(0x9E3779B1)
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(0x85EBCA77)
+    return x ^ (x >> np.uint32(13))
 
-    parts = len(keys)
+
+def _prefixes(shared, bits: int, parts: int, up: int, down: int):
+    """(class, tokens) to packed prefix records for each part; similarity up / down."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        freq = np.frombuffer(counts.value, "<u2")
-        for whole in batches:
-            for begin in range(0, whole.num_rows, 4096):
-                batch = whole.slice(begin, 4096)
-                ids = batch.column(0).to_numpy()
-                data, ends = binary_points(batch.column(1))
-                tokens, at = unpack(data), ends // TOKEN_BYTES
-                size = np.diff(at)
-                row = np.repeat(np.arange(len(ids)), size)
-                est = freq[bucket_of(tokens)]
-                key = (row.astype(np.uint64) << np.uint64(48)) | (est.astype(np.uint64) << np.uint64(32)) | (mix(tokens) >> np.uint64(32))
-                order = np.argsort(key, kind="stable")
-                key, others = key[order], est[order].astype(np.int64) - 1
-                least = -(-up * size // down)  # ceil
-                base = size - least
-                run_cost = np.concatenate([[0], np.cumsum(np.maximum(others, 0))])
-                k = np.minimum(np.arange(1, MOST_MATCHES + 1)[None, :], np.maximum(least, 1)[:, None])
-                scanned = run_cost[np.minimum(at[:-1, None] + base[:, None] + k, at[1:, None])] - run_cost[at[:-1, None]]
-                cost = scanned * (1 + VERIFY_COST / k)
-                matches = np.take_along_axis(k, cost.argmin(1)[:, None], 1)[:, 0]
-                pos = np.arange(len(key)) - at[row]
-                use = (pos < np.minimum(base + matches, size)[row]) & (others > 0)
-                index = np.flatnonzero(use)
-                r, p = row[index], pos[index]
-                token = mix(key[index] & np.uint64((1 << 48) - 1)) >> np.uint64(24)
-                # frequent shingles: blocks of block pairs
-                splits = np.where(others[index] > HOT, -(-others[index] // HOT), 1)
-                if (splits > 1).any():
-                    own = (ids[r] % splits).astype(np.int64)
-                    take = np.repeat(np.arange(len(r)), splits)
-                    other = np.arange(len(take)) - np.repeat(np.cumsum(splits) - splits, splits)
-                    low, high = np.minimum(own[take], other), np.maximum(own[take], other)
-                    r, p, token = r[take], p[take], np.where(splits[take] > 1, mix(token[take] ^ (low.astype(np.uint64) << np.uint64(52)) ^ (high.astype(np.uint64) << np.uint64(58))) >> np.uint64(24), token[take])
-                part = (mix(token) % np.uint64(parts)).astype(np.int64)
-                signature = np.minimum(np.bincount(row * BUCKETS + (tokens % np.uint64(BUCKETS)).astype(np.int64), minlength=len(ids) * BUCKETS), 15).reshape(len(ids), BUCKETS).astype(np.uint8)
-                signature = signature[:, ::2] | (signature[:, 1::2] << 4)
-                order = np.lexsort((r, part))
-                r, p, token, part = r[order], p[order], token[order], part[order]
-                if not len(r):
-                    continue
-                new = np.concatenate([[True], (r[1:] != r[:-1]) | (part[1:] != part[:-1])])
-                first = np.flatnonzero(new)
-                many = np.diff(np.append(first, len(r)))
-                rec = np.zeros(len(first), RECORD)
-                rec["id"], rec["size"], rec["matches"], rec["many"] = ids[r[first]], size[r[first]], matches[r[first]], many
-                rec["sig"] = signature[r[first]]
-                post = np.zeros(len(r), POSTING)
-                post["low"], post["top"], post["pos"] = token & np.uint64(0xFFFFFFFF), token >> np.uint64(32), np.minimum(p, 65535)
-                where = part[first]
-                cut = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1], [True]]))
-                post_at = np.append(first, len(r))
-                out_part, records, postings = [], [], []
-                for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                    out_part.append(keys[int(where[a])])
-                    records.append(rec[a:b].tobytes())
-                    postings.append(post[post_at[a] : post_at[b]].tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(out_part, pa.int32()), pa.array(records, pa.binary()), pa.array(postings, pa.binary())], ["part", "records", "postings"])
+        levels = np.frombuffer(shared.value, np.uint8)
+        for batch in slices(batches, "tokens", ORDER_BYTES):
+            ids = batch.column(0).to_numpy()
+            data, ends = binary_points(batch.column(1))
+            tokens, at = unpack(data), ends // TOKEN_BYTES
+            size = np.diff(at)
+            row = np.repeat(np.arange(len(ids)), size)
+            key = (row.astype(np.uint64) << np.uint64(40)) | (levels[bucket_of(tokens, bits)].astype(np.uint64) << np.uint64(32)) | scattered(tokens)
+            key.sort()
+            others = LEVELS[((key >> np.uint64(32)) & np.uint64(255)).astype(np.int64)] - 1
+            least = -(-up * size // down)  # ceil
+            # most matches are with texts of like size, which count in this much of the prefix only
+            like = size - -(-2 * up * size // (up + down))
+            run_cost = np.concatenate([[0], np.cumsum(np.maximum(others, 0))])
+            k = np.minimum(np.arange(1, MOST_MATCHES + 1)[None, :], np.maximum(least, 1)[:, None])
+            met = run_cost[np.minimum(at[:-1, None] + like[:, None] + k, at[1:, None])] - run_cost[at[:-1, None]]
+            matches = np.take_along_axis(k, (met * (1 + VERIFY_COST / k)).argmin(1)[:, None], 1)[:, 0]
+            pos = np.arange(len(key)) - at[row]
+            index = np.flatnonzero((pos < np.minimum(size - least + matches, size)[row]) & (others > 0))
+            r, p, many = row[index], pos[index], others[index]
+            token = (key[index] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            side = np.zeros(len(r), np.uint8)
+            splits = np.where(many > HOT, -(-many // HOT), 1)
+            if (splits > 1).any():  # frequent shingles: a block meets itself and each other block once
+                own = (mix(ids[r].view(np.uint64)) % splits.astype(np.uint64)).astype(np.int64)
+                take = np.repeat(np.arange(len(r)), splits)
+                other = np.arange(len(take)) - np.repeat(np.cumsum(splits) - splits, splits)
+                own, split = own[take], splits[take] > 1
+                low, high = np.minimum(own, other).astype(np.uint64), np.maximum(own, other).astype(np.uint64)
+                place = mix(mix(token[take].astype(np.uint64) ^ (low << np.uint64(32))) ^ high)
+                token = np.where(split, (place >> np.uint64(32)).astype(np.uint32), token[take])
+                side = np.where(~split | (own == other), 0, np.where(own < other, 1, 2)).astype(np.uint8)
+                r, p = r[take], p[take]
+            part = (mix(token) % np.uint64(parts)).astype(np.int64)
+            order = np.lexsort((r, part))
+            r, p, token, side, part = r[order], p[order], token[order], side[order], part[order]
+            if not len(r):
+                continue
+            first = np.flatnonzero(np.concatenate([[True], (r[1:] != r[:-1]) | (part[1:] != part[:-1])]))
+            rec = np.zeros(len(first), RECORD)
+            rec["id"], rec["size"], rec["matches"], rec["many"] = ids[r[first]], size[r[first]], matches[r[first]], np.diff(np.append(first, len(r)))
+            post = np.zeros(len(r), POSTING)
+            post["token"], post["pos"], post["side"] = token, np.minimum(p, UNKNOWN), side
+            where = part[first]
+            cut = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1], [True]]))
+            rec_data = pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer((cut * RECORD.itemsize).astype(np.int32).tobytes()), pa.py_buffer(rec.tobytes())])
+            post_data = pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer((np.append(first, len(r))[cut] * POSTING.itemsize).astype(np.int32).tobytes()), pa.py_buffer(post.tobytes())])
+            yield pa.RecordBatch.from_arrays([pa.array(where[cut[:-1]].astype(np.int32)), rec_data, post_data], ["part", "records", "postings"])
 
     return run
 
 
-RECORD = np.dtype([("id", "<i8"), ("size", "<u4"), ("matches", "u1"), ("many", "<u2"), ("sig", "u1", (BUCKETS // 2,))])
-#: A shingle (order and hash, 40 bits) and its place in the order, which stops counting at 65,535.
-POSTING = np.dtype([("low", "<u4"), ("top", "u1"), ("pos", "<u2")])
+RECORD = np.dtype([("id", "<i8"), ("size", "<u4"), ("matches", "u1"), ("many", "<u4")])
+#: A shingle, its place in the order (UNKNOWN: there or later), and the side of a split one (0: not split or one block).
+POSTING = np.dtype([("token", "<u4"), ("pos", "<u2"), ("side", "u1")])
+UNKNOWN = 65535
 
 
-def bucket_of(tokens: np.ndarray) -> np.ndarray:
+def bucket_of(tokens: np.ndarray, bits: int) -> np.ndarray:
     """Counter of a packed token."""
-    return (tokens & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
-
-
-def _overlap_bound(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Most shingles that two signatures may share; a count of 15 may stand for more."""
-    low = np.minimum(a & 15, b & 15).sum(1, dtype=np.int64) + np.minimum(a >> 4, b >> 4).sum(1, dtype=np.int64)
-    full = (((a & 15) == 15) & ((b & 15) == 15)).any(1) | (((a >> 4) == 15) & ((b >> 4) == 15)).any(1)
-    return np.where(full, np.int64(1) << 40, low)
+    return (tokens & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
 PAIRS = "class_a bigint, class_b bigint, hits int, needed int"
 
 
 def _meet(up: int, down: int):
-    """Packed prefix records of a part to pairs with their matches in it."""
+    """Packed prefix records of one part to pairs with their matches in it.
+
+    A match of sizes m and n counts where it lies in the first m - o + k and n - o + k
+    shingles, o being the overlap that the similarity asks for and k the smaller number
+    of matches: these hold k shared ones if any.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_part: dict[int, tuple[list, list]] = {}
+        recs, posts = [], []
         for batch in batches:
-            for part, rec, post in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                kept = by_part.setdefault(part, ([], []))
-                kept[0].append(np.frombuffer(rec, RECORD))
-                kept[1].append(np.frombuffer(post, POSTING))
-        for part in list(by_part):
-            recs, posts = by_part.pop(part)
-            rec, post = np.concatenate(recs), np.concatenate(posts)
-            of = np.repeat(np.arange(len(rec)), rec["many"])
-            token = (post["top"].astype(np.uint64) << np.uint64(32)) | post["low"]
-            pos = post["pos"].astype(np.int64)
-            order = np.lexsort((rec["id"][of], token))
-            token, of, pos = token[order], of[order], pos[order]
-            # the same class from several tasks counts once
-            again = np.concatenate([[False], (token[1:] == token[:-1]) & (rec["id"][of[1:]] == rec["id"][of[:-1]])])
-            token, of, pos = token[~again], of[~again], pos[~again]
-            edge = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
-            end = np.repeat(edge[1:], np.diff(edge))
-            size = rec["size"].astype(np.int64)
-            live = np.arange(len(token))
-            found_a, found_b, held = [], [], 0
-            step = 0
-            while len(live):
-                step += 1
-                live = live[live + step < end[live]]
-                for begin in range(0, len(live), 1 << 18):
-                    m = live[begin : begin + (1 << 18)]
-                    x, y = of[m], of[m + step]
-                    nx, ny = size[x], size[y]
-                    px, py = pos[m], pos[m + step]
-                    most = np.minimum(px, py) + 1 + np.minimum(nx - px - 1, ny - py - 1)
-                    most = np.where(np.maximum(px, py) >= 65535, nx, most)  # the place is not known
-                    ok = (np.minimum(nx, ny) * down >= up * np.maximum(nx, ny)) & (most * (up + down) >= up * (nx + ny))
-                    x, y, total = x[ok], y[ok], (nx + ny)[ok]
-                    if len(x):
-                        ok = _overlap_bound(rec["sig"][x], rec["sig"][y]) * (up + down) >= up * total
-                        found_a.append(x[ok])
-                        found_b.append(y[ok])
-                        held += len(x[ok])
-                    if held > MOST_HELD:
-                        yield _summed(rec, found_a, found_b)
-                        found_a, found_b, held = [], [], 0
-            if held:
-                yield _summed(rec, found_a, found_b)
+            data, _ = binary_points(batch.column(1))
+            recs.append(data.view(RECORD))
+            data, _ = binary_points(batch.column(2))
+            posts.append(data.view(POSTING))
+        if not recs:
+            return
+        rec, post = np.concatenate(recs), np.concatenate(posts)
+        recs.clear()
+        posts.clear()
+        of = np.repeat(np.arange(len(rec), dtype=np.int32), rec["many"])
+        size, need = rec["size"].astype(np.int64), rec["matches"].astype(np.int64)
+        order = np.lexsort((rec["id"][of], size[of], post["token"]))
+        post, of = post[order], of[order]
+        token, pos, side = np.ascontiguousarray(post["token"]), post["pos"].astype(np.int64), np.ascontiguousarray(post["side"])
+        # the same class from several tasks counts once
+        once = np.flatnonzero(~np.concatenate([[False], (token[1:] == token[:-1]) & (side[1:] == side[:-1]) & (rec["id"][of[1:]] == rec["id"][of[:-1]])]))
+        token, of, pos, side = token[once], of[once], pos[once], side[once]
+        edge = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
+        end = np.repeat(edge[1:], np.diff(edge))
+        live = np.arange(len(token))
+        found_a, found_b, held, step = [], [], 0, 0
+        while len(live):
+            step += 1
+            live = live[live + step < end[live]]
+            kept = []
+            for begin in range(0, len(live), 1 << 18):
+                m = live[begin : begin + (1 << 18)]
+                x, y = of[m], of[m + step]
+                near_size = size[x] * down >= up * size[y]  # sizes rise, so the rest is no nearer
+                m, x, y = m[near_size], x[near_size], y[near_size]
+                kept.append(m)
+                overlap = -(-up * (size[x] + size[y]) // (up + down))
+                k = np.minimum(need[x], need[y])
+                px, py = pos[m], pos[m + step]
+                ok = ((px < size[x] - overlap + k) | (px >= UNKNOWN)) & ((py < size[y] - overlap + k) | (py >= UNKNOWN))
+                ok &= (side[m] != side[m + step]) | (side[m] == 0)
+                if ok.any():
+                    found_a.append(x[ok])
+                    found_b.append(y[ok])
+                    held += len(found_a[-1])
+                if held > MOST_HELD:
+                    yield _summed(rec, found_a, found_b)
+                    found_a, found_b, held = [], [], 0
+            live = np.concatenate(kept) if kept else live[:0]
+        if held:
+            yield _summed(rec, found_a, found_b)
 
     return run
 
@@ -385,31 +401,22 @@ class Near:
 
 
 def text_sets(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Classes, their tokens and the count sketch, written once."""
+    """Classes and their tokens, written once."""
     ship(df.sparkSession)
     rows = df.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null and text <> ''")
     return keep(rows.mapInArrow(_sets, SETS), "none")
 
 
-def even_keys(spark: SparkSession, parts: int) -> list[int]:
-    """A number for each part whose hash leads to a partition of its own."""
-    keys: dict[int, int] = {}
-    upto = parts * 16
-    while len(keys) < parts:
-        for r in spark.range(upto).select(F.col("id").cast("int").alias("k"), F.pmod(F.hash(F.col("id").cast("int")), F.lit(parts)).alias("p")).groupBy("p").agg(F.min("k").alias("k")).collect():  # one row a part
-            keys[r["p"]] = r["k"]
-        upto *= 4
-    return [keys[p] for p in range(parts)]
-
-
 def candidates(sets: DataFrame, up: int, down: int) -> DataFrame:
     """Pairs of classes that share enough prefix shingles."""
     spark = sets.sparkSession
-    # a text sends its signature to every part in which it has prefix shingles, so parts are few and large
-    parts = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
-    counts = spark.sparkContext.broadcast(sketch(sets))  # 16 MB
-    packed = sets.where("kind = 1").select("class_id", "tokens").mapInArrow(_prefixes(counts, even_keys(spark, parts), up, down), "part int, records binary, postings binary")
-    met = packed.repartition(parts, "part").mapInArrow(_meet(up, down), PAIRS)
+    tokens = sets.where("kind = 1").select("class_id", "tokens")
+    total = tokens.agg(F.coalesce(F.sum(F.length("tokens")), F.lit(0))).first()[0]
+    bits = min(max((total // TOKEN_BYTES).bit_length(), LEAST_SKETCH_BITS), MOST_SKETCH_BITS)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
+    levels = spark.sparkContext.broadcast(sketch(tokens, bits))  # 2**MOST_SKETCH_BITS bytes at most
+    packed = tokens.mapInArrow(_prefixes(levels, bits, parts, up, down), "part int, records binary, postings binary")
+    met = packed.repartitionById(parts, F.col("part")).mapInArrow(_meet(up, down), PAIRS)
     return met.groupBy("class_a", "class_b").agg(F.sum("hits").alias("hits"), F.min("needed").alias("needed")).where("hits >= needed").select("class_a", "class_b")
 
 
