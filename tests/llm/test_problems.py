@@ -77,6 +77,15 @@ def test_near_duplicates_split_blocks(docs, monkeypatch):
     assert got == brute_pairs(corpus())
 
 
+def test_counts_have_no_end():
+    import numpy as np
+
+    n = np.array([0, 1, 2, 3, 1000, 65_535, 65_536, 10**9], np.uint64)
+    level = near.level_of(n)
+    assert (np.diff(level.astype(int)) >= 0).all() and level[-1] > level[-2] > level[-4]
+    assert (abs(near.LEVELS[level] / np.maximum(n, 1) - 1)[1:] < 0.1).all()
+
+
 def test_prefixes_lose_nothing(spark):
     """Random sets of few shingles over a small alphabet: many pairs near the threshold."""
     rng = random.Random(8)
@@ -125,14 +134,65 @@ def test_forest_decides_like_the_loop(spark, tmp_path):
     assert want and got == want
 
 
-def test_forest_runs_merge(docs):
-    sets = near.text_sets(docs, "doc_id", "body")
-    keys = forest.HashForest.keys(sets.where("kind = 1").select("class_id", "tokens").dropDuplicates(["class_id"]))
-    f = forest.HashForest(docs.sparkSession, most_runs=1)
-    f.add(keys)
-    f.add(keys)
-    assert len(f.runs) == 1 and f.runs[0].count() == keys.count()
-    assert forest.depth_for(0.6) == forest.LEVELS and forest.depth_for(0.3) < forest.LEVELS
+def test_history_takes_ten_batches(spark, tmp_path):
+    """Batch after batch, opened again each time, against the loop over all; only the batch's texts become tokens."""
+    rng = random.Random(11)
+    rows = {r[0]: r[1] for r in corpus() if r[0] and r[1] and r[1].strip() and len(r[1]) < 9000}
+    ids = sorted(rows)
+    rng.shuffle(ids)
+    linked: dict = {}
+    for a, b in brute_pairs([(i, t) for i, t in rows.items()]):
+        linked.setdefault(a, set()).add(b)
+        linked.setdefault(b, set()).add(a)
+    accepted: set = set()
+    for batch in range(10):
+        part = [rng.choice(ids) for _ in range(6)] if batch else ids[:12]
+        texts = near.text_sets(spark.createDataFrame([(i, rows[i]) for i in part], "doc_id string, body string"), "doc_id", "body")
+        classes = {r["doc_id"]: r["class_id"] for r in texts.where("kind = 0").collect()}
+        assert set(classes) == set(part)
+        at = {n + 100 * batch: i for n, i in enumerate(part)}
+        deliveries = spark.createDataFrame([(n, i, classes[i], [], None) for n, i in at.items()], "at bigint, doc_id string, class_id bigint, raws array<string>, norms array<string>")
+        history = forest.History(spark, f"file://{tmp_path}/history", most_runs=3)
+        tokens = texts.where("kind = 1").select("class_id", "tokens")
+        if not batch:
+            history.add(deliveries, tokens)
+            accepted |= set(part)
+            continue
+        got = {at[r["at"]] if r["accepted"] else None for r in history.screen(deliveries, tokens).collect()} - {None}
+        want = set()
+        for i in at.values():
+            if i not in accepted and not linked.get(i, set()) & accepted:
+                want.add(i)
+                accepted.add(i)
+        assert got == want, batch
+        assert len(history.runs()) <= 4
+    stored = history.entries().collect()
+    assert sum(len(r["entries"]) for r in stored) == history.classes() * forest.TREES * forest.ENTRY.itemsize
+    slots = [(r["first_slot"], r["last_slot"]) for r in stored]
+    assert all(a <= b for a, b in slots)
+
+
+def test_range_search_is_that_of_prefixes(spark, monkeypatch):
+    """Every pair with the same first hashes in a permutation, also in ranges too wide to hand on at once."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    sigs = rng.integers(0, 3, (60, forest.TREES * forest.APART), dtype=np.uint8)
+    order = forest.permutations()
+    keyed = spark.createDataFrame([(i, s.tobytes()) for i, s in enumerate(sigs)], "class_id bigint, signature binary")
+    runs = forest.sorted_run(keyed.where("class_id < 40"), 40)
+    want = {}
+    for a, b in itertools.combinations(range(60), 2):
+        same = [int(np.argmin(np.append(sigs[a][o] == sigs[b][o], False))) for o in order]
+        if b >= 40 and max(same) >= 4:
+            want[(b, a) if a < 40 else (a, b)] = max(same)
+    for most in (512, 2):
+        monkeypatch.setattr(forest, "MOST_RANGE", most)
+        out = forest.search(runs, 40, keyed.where("class_id >= 40"), 20, 4, all_of=True).collect()
+        assert {(r["class_a"], r["class_b"]): r["level"] for r in out} == want
+        some = forest.search(runs, 40, keyed.where("class_id >= 40"), 20, 4).collect()
+        assert {(r["class_a"], r["class_b"]) for r in some} <= set(want)
+    assert forest.depth_for(0.6) == forest.APART and forest.depth_for(0.3) < forest.APART
 
 
 # --- the form as it looks -------------------------------------------------------
