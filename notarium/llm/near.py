@@ -36,7 +36,7 @@ from .batches import slices
 from .codepoints import SPACE, fold_points, tables, take_rows, to_points
 from .wordset import TOKEN_BITS, mix, set_ids, token_sets
 
-#: Counters of the frequency sketch: as many as there are shingles, 2**MOST_SKETCH_BITS at most (a byte each).
+#: Counters of the frequency sketch: half as many as there are shingles, as most of these repeat; 2**MOST_SKETCH_BITS at most (a byte each).
 LEAST_SKETCH_BITS, MOST_SKETCH_BITS = 20, 25
 SKETCH_BLOCKS = 64
 #: Longest extra prefix, and what verifying a candidate costs in matches.
@@ -412,7 +412,7 @@ def candidates(sets: DataFrame, up: int, down: int) -> DataFrame:
     spark = sets.sparkSession
     tokens = sets.where("kind = 1").select("class_id", "tokens")
     total = tokens.agg(F.coalesce(F.sum(F.length("tokens")), F.lit(0))).first()[0]
-    bits = min(max((total // TOKEN_BYTES).bit_length(), LEAST_SKETCH_BITS), MOST_SKETCH_BITS)
+    bits = min(max((total // TOKEN_BYTES // 2).bit_length(), LEAST_SKETCH_BITS), MOST_SKETCH_BITS)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PART_BYTES))
     levels = spark.sparkContext.broadcast(sketch(tokens, bits))  # 2**MOST_SKETCH_BITS bytes at most
     packed = tokens.mapInArrow(_prefixes(levels, bits, parts, up, down), "part int, records binary, postings binary")
