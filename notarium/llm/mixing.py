@@ -2,15 +2,17 @@
 
 Temperature mixing.  The weight of a source is its target share to an exponent
 times its own token share to the rest, made to sum to one: exponent 1 gives the
-targets, 0 the sources as they are.  For a wanted total the exponent is
-bisected down from 1 until no source repeats more often than it may; without
-one the total is the largest that meets the targets exactly.  (With an entropy
-as target, ``exponent_for_entropy`` bisects the exponent of the token shares.)
+targets, 0 the sources as they are.  The exponent is bisected down from 1 until
+no source repeats more often than it may at the wanted total.  Without a total,
+targets come first: the total itself is bisected to the largest at which the
+repetition limits hold at exponent 1.  (With an entropy as target,
+``exponent_for_entropy`` bisects the exponent of the token shares.)
 
 The weights are realised as budgeted block permutations: the records of a
 source have an order by a hash of id and pass, cut into blocks.  Whole passes
 take everything; the last pass takes whole blocks while they fit and of the
-next one the records that fit in order.  Only block totals are summed up, so a
+next one the records in order, the last of them if half of it fits or more, so a
+source misses its budget by half a record at most.  Only block totals are summed up, so a
 source with a third of all rows is no single task.
 
 Source names are compared without case and padding and with ``_`` as ``-``.
@@ -73,12 +75,14 @@ def plan(tokens: dict[str, int], targets: dict[str, tuple[float, int]], total: i
     aim = tempered([targets[s][0] for s in have], 1.0)
     own = tempered([float(tokens[s]) for s in have], 1.0)
     limit = [tokens[s] * targets[s][1] for s in have]
-    most = min(cap / w for cap, w in zip(limit, aim, strict=True))
+
+    def fits(a: float, size: float) -> bool:
+        """Whether no source repeats too often."""
+        return all(size * w <= cap * (1 + 1e-12) for w, cap in zip(tempered(aim, a, own), limit, strict=True))
+
     if total is None:
-        total, exponent = int(most), 1.0
-    else:
-        fits = lambda a: all(total * w <= cap * (1 + 1e-12) for w, cap in zip(tempered(aim, a, own), limit, strict=True))
-        exponent = bisect(fits) if fits(0.0) else 0.0
+        total = int(bisect(lambda size: fits(1.0, size), 0.0, float(sum(limit)), 80))
+    exponent = bisect(lambda a: fits(a, total)) if fits(0.0, total) or fits(1.0, total) else 0.0
     weights = dict(zip(have, tempered(aim, exponent, own), strict=True))
     out = []
     for s in sorted(targets):
@@ -105,7 +109,7 @@ def draw(sizes: DataFrame, targets: DataFrame, total: int | None = None) -> tupl
     placed = last.join(begun, ["source", "block"])
     full = placed.where("before + n <= rest").select("doc_id", "source", (F.col("passes") + 1).alias("pass_no"), "tokens")
     inside = Window.partitionBy("source", "block").orderBy("order", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
-    edge = placed.where("before < rest and before + n > rest").withColumn("upto", F.col("before") + F.sum("tokens").over(inside)).where("upto <= rest").select("doc_id", "source", (F.col("passes") + 1).alias("pass_no"), "tokens")
+    edge = placed.where("before < rest and before + n > rest").withColumn("upto", F.col("before") + F.sum("tokens").over(inside)).where("2 * upto - tokens <= 2 * rest").select("doc_id", "source", (F.col("passes") + 1).alias("pass_no"), "tokens")
     return whole.unionByName(full).unionByName(edge), planned
 
 

@@ -24,8 +24,8 @@ from ..session import keep, ship, table
 from .tokens import token_sizes
 
 CAPACITY = 2048
-#: Parts in which the texts of one length are numbered, so that a common length is no single task.
-PARTS = 64
+#: Texts of one length that are numbered in one task, about; a more common length has several parts.
+PART_ROWS = 500_000
 
 
 def patterns(histogram: dict[int, int], capacity: int = CAPACITY, most_texts: int = 0) -> list[tuple[tuple[int, ...], int]]:
@@ -113,18 +113,22 @@ def pack(sizes: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ship(spark)
     pieces = sizes.where("tokens > 0").select("doc_id", F.posexplode(F.sequence(F.lit(0), ((F.col("tokens") - 1) / capacity).cast("int"))).alias("pos", "k"), "tokens")
     pieces = pieces.select("doc_id", (F.col("k") + 1).alias("piece"), F.least(F.lit(capacity), F.col("tokens") - F.col("k") * capacity).cast("bigint").alias("size"))
-    part = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(PARTS)).cast("int")
-    pieces = pieces.withColumn("part", part)
-    counts = pieces.groupBy("size", "part").count().collect()  # capacity x PARTS rows at most
-    histogram: dict[int, int] = {}
-    for r in counts:
-        histogram[r["size"]] = histogram.get(r["size"], 0) + r["count"]
+    histogram = {r["size"]: r["count"] for r in pieces.groupBy("size").count().collect()}  # capacity rows at most
+    common = {size: -(-n // PART_ROWS) for size, n in histogram.items() if n > PART_ROWS}
+    of = F.create_map(*(F.lit(x).cast("bigint") for kv in common.items() for x in kv)) if common else None
+    parts = F.coalesce(F.try_element_at(of, "size"), F.lit(1)) if common else F.lit(1).cast("bigint")
+    pieces = pieces.withColumn("part", F.pmod(F.xxhash64("doc_id", "piece"), parts).cast("int"))
+    if common:
+        counts = [(r["size"], r["part"], r["count"]) for r in pieces.where(F.col("size").isin(list(common))).groupBy("size", "part").count().collect()]  # one row for each PART_ROWS pieces
+    else:
+        counts = []
+    counts += [(size, 0, n) for size, n in histogram.items() if size not in common]
     found = patterns(histogram, capacity)
     before: dict[int, int] = {}
     offsets = []
-    for r in sorted(counts, key=lambda r: (r["size"], r["part"])):
-        offsets.append((r["size"], r["part"], before.get(r["size"], 0)))
-        before[r["size"]] = before.get(r["size"], 0) + r["count"]
+    for size, part, n in sorted(counts):
+        offsets.append((size, part, before.get(size, 0)))
+        before[size] = before.get(size, 0) + n
     shared = spark.sparkContext.broadcast(_slots(found))  # a few thousand runs: patterns follow the capacity
     if not offsets:
         return pieces.select(F.lit(0).cast("bigint").alias("container"), "doc_id", "piece", F.col("size").alias("tokens")).where("false")

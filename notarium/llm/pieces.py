@@ -7,6 +7,9 @@ else of a line, a sentence, a word.  As landmarks depend on the text around
 them alone, an edit alters only the pieces near it.  Each piece repeats about
 the last 200 characters of the one before, from a word's beginning.
 
+A text above the limit is known by its second piece, a block above it by the
+first cut that falls inside.
+
 Null and empty texts have no pieces; texts up to the limit are one piece.
 Repeated rows count once; further columns are ignored.
 """
@@ -127,20 +130,36 @@ def pieces(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[
     return out
 
 
-PIECES = "doc_id string, piece_no int, start_pos bigint, end_pos bigint, n_chars int, text string, large_blocks array<int>"
+def cut_blocks(text: str, ends: list[int], limit: int = LIMIT) -> dict[int, list[int]]:
+    """By piece number, the blocks above the limit (numbered from 1) that the piece's end is the first to cut.
+
+    A block above the limit can't stay whole, so each has such a cut.
+    """
+    found = blocks(text)
+    first = [b for b, _, _ in found]
+    out: dict[int, list[int]] = {}
+    for piece, cut in enumerate(ends[:-1], 1):
+        k = int(np.searchsorted(first, cut, side="left"))  # the last block that begins before the cut
+        if k and cut < found[k - 1][1] and found[k - 1][1] - found[k - 1][0] > limit and (piece == 1 or ends[piece - 2] <= found[k - 1][0]):
+            out[piece] = [k]
+    return out
+
+
+PIECES = "doc_id string, piece_no int, start_pos bigint, end_pos bigint, n_chars int, text string, cut_blocks array<int>"
 
 
 def _run(limit: int, overlap: int, with_text: bool):
-    schema = pa.schema([("doc_id", pa.string()), ("piece_no", pa.int32()), ("start_pos", pa.int64()), ("end_pos", pa.int64()), ("n_chars", pa.int32()), ("text", pa.string()), ("large_blocks", pa.list_(pa.int32()))])
+    schema = pa.schema([("doc_id", pa.string()), ("piece_no", pa.int32()), ("start_pos", pa.int64()), ("end_pos", pa.int64()), ("n_chars", pa.int32()), ("text", pa.string()), ("cut_blocks", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for i in range(batch.num_rows):
                 doc, text = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                large = [k for k, (b, e, _) in enumerate(blocks(text), 1) if e - b > limit]
-                for k, (b, e) in enumerate(pieces(text, limit, overlap), 1):
-                    rows.append((doc, k, b + 1, e, e - b, text[b:e] if with_text else None, large if k == 1 else []))
+                made = pieces(text, limit, overlap)
+                cut = cut_blocks(text, [e for _, e in made], limit)
+                for k, (b, e) in enumerate(made, 1):
+                    rows.append((doc, k, b + 1, e, e - b, text[b:e] if with_text else None, cut.get(k, [])))
                 if len(rows) > 2000:
                     yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
                     rows = []
@@ -151,7 +170,7 @@ def _run(limit: int, overlap: int, with_text: bool):
 
 
 def split(df: DataFrame, id_col: str, text_col: str, limit: int = LIMIT, overlap: int = OVERLAP, with_text: bool = True, all_texts: bool = False) -> DataFrame:
-    """Pieces of the texts above the limit (of all texts if asked), in order, with the numbers of blocks that alone are too long at the first piece."""
+    """Pieces of the texts above the limit (of all texts if asked), in order, each with the number of the block that alone is too long and that its end is the first to cut."""
     ship(df.sparkSession)
     rows = df.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).where(F.length("text") > (0 if all_texts else limit))
     return rows.mapInArrow(_run(limit, overlap, with_text), PIECES)
@@ -159,13 +178,14 @@ def split(df: DataFrame, id_col: str, text_col: str, limit: int = LIMIT, overlap
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, block_no): 0 for each body above the limit, and each of its blocks that alone is above it."""
-    firsts = split(table(spark, sf_dir, "cleaned"), "doc_id", "body", with_text=False).where("piece_no = 1 and doc_id is not null")
-    return firsts.select("doc_id", F.explode(F.concat(F.array(F.lit(0)), "large_blocks")).alias("block_no")).distinct()
+    made = split(table(spark, sf_dir, "cleaned"), "doc_id", "body", with_text=False).where("doc_id is not null")
+    several = F.when(F.col("piece_no") == 2, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    return made.select("doc_id", F.explode(F.concat(several, "cut_blocks")).alias("block_no")).distinct()
 
 
 def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of all oversized bodies."""
-    return split(table(spark, sf_dir, "cleaned"), "doc_id", "body").drop("large_blocks").distinct()
+    return split(table(spark, sf_dir, "cleaned"), "doc_id", "body").drop("cut_blocks").distinct()
 
 
 QUERIES = {"p2_found": p2_found, "p2_pieces": p2_pieces}

@@ -1,14 +1,17 @@
 """Problem 6: the share of a text that repeats within the text.
 
-Each text gets statistics: the share of its words in passages of six or more
-words that occurred before in it (20 characters where it is mainly in a script
-without spaces), the same for three words, the share of the most frequent
-passage, repeated lines, and words in all.  A decision list is learned from a
-bounded sample of them: rules are grown condition by condition on two thirds of
-the sample, pruned on the rest, and what a rule covers is set aside before the
-next is grown.  The list is applied as one ordered conditional expression in
-Spark; an exact check of the share follows, so a rule that reaches too far does
-no harm.  Thresholds lie at the edge of the rows a rule must exclude.
+The share is that of a text's words in passages of six or more words that
+occurred before in it (20 characters where it is mainly in a script without
+spaces).  A decision list says which texts repeat, from other statistics: the
+same share for three words (ten characters), the share of the most frequent
+passage, repeated lines, the share of different words, and words in all.  It is
+learned from a bounded sample that the share labels: rules are grown condition
+by condition on two thirds of the sample, pruned on the rest, and what a rule
+covers is set aside before the next is grown.  The list is applied as one
+ordered conditional expression in Spark.  Its last rule is a bound: what
+repeats in long passages repeats in short ones, so no case is beyond it.  An
+exact check of the share follows, so a rule that reaches too far does no harm.
+Thresholds lie at the edge of the rows a rule must exclude.
 
 Null texts have null statistics and are no case; empty texts have a share of 0;
 repeated rows count once; further columns are ignored.
@@ -29,12 +32,13 @@ from .batches import slices
 from .codepoints import fold_points, to_points
 from .wordset import Words
 
-PASSAGE_WORDS, PASSAGE_CHARS, SHORT_WORDS = 6, 20, 3
+PASSAGE_WORDS, PASSAGE_CHARS, SHORT_WORDS, SHORT_CHARS = 6, 20, 3, 10
 LEAST_SHARE = 0.30
 #: Rows of each label that the list is learned from at most.
 SAMPLE_ROWS = 2000
-FEATURES = ["share", "short_share", "top_share", "line_share", "words"]
-STATS = "doc_id string, share double, short_share double, top_share double, line_share double, words double"
+#: What the list decides by; the share itself is not among it.
+FEATURES = ["short_share", "top_share", "line_share", "variety", "words"]
+STATS = "doc_id string, share double, short_share double, top_share double, line_share double, variety double, words double"
 
 
 def _repeated(row: np.ndarray, begin: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,13 +94,18 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.maximum.at(top, row, times)
                 shares["top_share"] = np.where(top > 1, np.minimum(1.0, top * size / np.maximum(words, 1)), 0.0)
         if w.dense.any():
-            row, h = w.char_spans(PASSAGE_CHARS)
-            all_row, begin = _spans(w.char_at, PASSAGE_CHARS)
-            begin = begin[w.dense[all_row]]
-            again, times = _repeated(row, begin, h)
-            chars = np.diff(w.char_at)
-            by_char = _per_row(_covered(begin[again], PASSAGE_CHARS, len(w.index)), w.char_at) / np.maximum(chars, 1)
-            shares["share"] = np.where(w.dense, by_char, shares["share"])
+            for name, size in (("share", PASSAGE_CHARS), ("short_share", SHORT_CHARS)):
+                row, h = w.char_spans(size)
+                all_row, begin = _spans(w.char_at, size)
+                begin = begin[w.dense[all_row]]
+                again, times = _repeated(row, begin, h)
+                chars = np.diff(w.char_at)
+                by_char = _per_row(_covered(begin[again], size, len(w.index)), w.char_at) / np.maximum(chars, 1)
+                shares[name] = np.where(w.dense, by_char, shares[name])
+                if name == "share":
+                    top = np.zeros(n, np.int64)
+                    np.maximum.at(top, row, times)
+                    shares["top_share"] = np.where(w.dense, np.where(top > 1, np.minimum(1.0, top * size / np.maximum(chars, 1)), 0.0), shares["top_share"])
         # lines: the words of a line, in order
         line_break = np.flatnonzero(points == 10)
         if len(w.hash):
@@ -111,7 +120,13 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shares["line_share"] = np.bincount(row[new], weights=again, minlength=n) / np.maximum(lines, 1)
         else:
             shares["line_share"] = np.zeros(n)
-        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), *(pa.array(np.asarray(shares[k], np.float64)) for k in FEATURES[:-1]), pa.array(words.astype(np.float64))], ["doc_id", *FEATURES])
+        # different words among all
+        row = np.repeat(np.arange(n), words)
+        key = np.sort((row.astype(np.uint64) << np.uint64(48)) | (w.hash >> np.uint64(16)))
+        kinds = np.bincount((key[np.concatenate([[True], key[1:] != key[:-1]])] >> np.uint64(48)).astype(np.int64), minlength=n) if len(key) else np.zeros(n)
+        shares["variety"], shares["words"] = kinds / np.maximum(words, 1), words
+        names = ["share", *FEATURES]
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.string()), *(pa.array(np.asarray(shares[k], np.float64)) for k in names)], ["doc_id", *names])
 
 
 def statistics(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -217,9 +232,9 @@ def fit(stats: DataFrame, least: float = LEAST_SHARE, sample: int = SAMPLE_ROWS)
     for label in (f"share >= {least}", f"share < {least}"):
         rows += stats.where(label).orderBy(by, "doc_id").limit(sample).collect()  # a bounded sample
     x = {k: np.array([r[k] for r in rows], float) for k in FEATURES}
-    y = x["share"] >= least
+    y = np.array([r["share"] >= least for r in rows], bool)
     rules = learn(x, y) if y.any() and (~y).any() else []
-    return [*rules, Rule([("share", True, float(np.nextafter(least, 0)))])]  # the definition ends the list
+    return [*rules, Rule([("short_share", True, float(np.nextafter(least, 0)))])]  # a share of long passages is one of short ones
 
 
 def labelled(df: DataFrame, id_col: str, text_col: str, least: float = LEAST_SHARE) -> DataFrame:

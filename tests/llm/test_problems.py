@@ -263,6 +263,15 @@ def test_blocks(text):
     assert all(x[1] <= y[0] for x, y in itertools.pairwise(found))
 
 
+@settings(deadline=None, max_examples=100)
+@given(st.lists(st.tuples(st.sampled_from(["a", "ab. ", "word ", "x\n"]), st.integers(1, 9000), st.booleans()), min_size=1, max_size=6))
+def test_cut_blocks_are_those_above_the_limit(parts):
+    text = "\n\n".join(("```\n" + (t * n)[:n] + "\n```" if code else (t * n)[:n]) for t, n, code in parts)
+    made = pieces.pieces(text)
+    cut = pieces.cut_blocks(text, [e for _, e in made])
+    assert sorted(k for v in cut.values() for k in v) == [k for k, (b, e, _) in enumerate(pieces.blocks(text), 1) if e - b > pieces.LIMIT]
+
+
 # --- repeats ---------------------------------------------------------------------------
 
 
@@ -287,9 +296,11 @@ def test_repeats(spark):
             assert str(i) not in got
         else:
             assert abs(got[str(i)]["share"] - slow_share(t)) < 1e-9 and got[str(i)]["repetitive"] == (slow_share(t) >= 0.3)
+            assert got[str(i)]["short_share"] >= got[str(i)]["share"] and (got[str(i)]["rule"] > 0 or got[str(i)]["share"] < 0.3)
+    assert "share" not in repeats.FEATURES
     dense = "".join(chr(0x4E00 + rng.randrange(900)) for _ in range(80))
     row = repeats.statistics(spark.createDataFrame([("x", dense * 2)], "d string, t string"), "d", "t").first()
-    assert row["share"] == 0.5
+    assert row["share"] == row["short_share"] == 0.5
 
 
 def test_decision_list_learns_conjunctions():
@@ -297,7 +308,7 @@ def test_decision_list_learns_conjunctions():
 
     rng = np.random.default_rng(1)
     x = {k: rng.random(600) for k in repeats.FEATURES}
-    y = (x["share"] > 0.4) & (x["words"] <= 0.5)
+    y = (x["short_share"] > 0.4) & (x["words"] <= 0.5)
     rules = repeats.learn(x, y)
     hit = np.zeros(600, bool)
     for r in rules:
@@ -308,7 +319,9 @@ def test_decision_list_learns_conjunctions():
 # --- packing and mixing -----------------------------------------------------------------
 
 
-def test_packing(spark):
+@pytest.mark.parametrize("rows", [500_000, 70])
+def test_packing(spark, monkeypatch, rows):
+    monkeypatch.setattr(packing, "PART_ROWS", rows)
     rng = random.Random(9)
     sizes = [(i, max(0, int(rng.lognormvariate(6, 1)))) for i in range(3000)] + [(9000 + i, 700) for i in range(1500)] + [(9999, None)]
     out = packing.pack(spark.createDataFrame(sizes, "doc_id bigint, tokens bigint")).collect()
@@ -321,6 +334,7 @@ def test_packing(spark):
     cut = Counter(r["doc_id"] for r in out)
     assert all(cut[i] == -(-n // packing.CAPACITY) for i, n in sizes if n)
     assert sum(load.values()) / (len(load) * packing.CAPACITY) > 0.9
+    assert sorted({r["container"] for r in out}) == list(range(1, len(load) + 1))
 
 
 @settings(deadline=None, max_examples=200)
@@ -348,6 +362,9 @@ def test_mixing(spark):
         uses[r["doc_id"]] += 1
         assert r["source"] in ("big", "small")
     total = sum(got.values())
+    for r in planned.collect():
+        assert abs(got[r["source"]] - r["budget"]) <= 30
+    assert max(mixing.plan({"a": 1000, "b": 70}, {"a": (0.5, 1), "b": (0.5, 4)})[k][5] for k in (0, 1)) == 280
     assert abs(got["big"] / total - 5 / 9) < 0.01 and abs(got["small"] / total - 4 / 9) < 0.01
     assert max(uses.values()) <= 4 and max(uses[i] for i in range(4000)) <= 1
     assert {r["source"]: r["budget"] for r in planned.collect()}["absent"] == 0
