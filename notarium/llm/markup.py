@@ -9,8 +9,10 @@ Which containers are content is decided by consensus: every text's containers
 (HTML elements, templates, environments) are scored by the words in them less
 those of links, scripts and attributes; the generalised tag-class paths are
 voted on per host in Spark, and the texts are extracted again with the winning
-paths.  The host of a note is the first folder of its path.  Votes decide what
-is kept, never whether markup is reported.
+paths.  What the extraction rewrites or leaves out is the markup that is
+reported.  The host of a note is the first folder of its path.  A text without
+any sign of markup is its own clean form and takes no part.  Only scores and
+names of paths are shuffled by host, never texts.
 
 Null texts stay null and are no case, empty ones stay empty; unknown tags such
 as ``<String>``, comparisons, Windows paths, autolinks and the notes' own links
@@ -260,10 +262,15 @@ def _braced(text: str, at: int) -> int:
 
 def clean(text: str, losing: frozenset[str] = frozenset()) -> str:
     """The text in the notes' own form; containers on losing paths are left out."""
+    return extract(text, losing)[0]
+
+
+def extract(text: str, losing: frozenset[str] = frozenset()) -> tuple[str, set[str]]:
+    """The text in the notes' own form without containers on losing paths, and the markups that were rewritten or left out."""
     shown = masked(text)
     found = tokens(shown)
     if not found:
-        return text
+        return text, set()
     out: list[str] = []
     at, skip_to, ordered, code = 0, 0, [], 0
     closing: dict[int, str] = {}
@@ -389,23 +396,12 @@ def clean(text: str, losing: frozenset[str] = frozenset()) -> str:
     put(len(text))
     done = "".join(out)
     done = re.sub(r"[ \t]+\n", "\n", re.sub(r"\n{3,}", "\n\n", done))
-    return done.strip("\n") if "\n" in text else done.strip()
+    return done.strip("\n") if "\n" in text else done.strip(), {t[2] for t in found}
 
 
 FOUND = "doc_id string, field string, markup string"
 
 
-def _found_bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        ids, kinds = [], []
-        for i, text in enumerate(batch.column(1).to_pylist()):
-            for k in kinds_of_body(text) if text else ():
-                ids.append(batch.column(0)[i].as_py())
-                kinds.append(k)
-        if ids:
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(["body"] * len(ids)), pa.array(kinds)], ["doc_id", "field", "markup"])
-
-
 def _found_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = set()
@@ -425,62 +421,92 @@ def _found_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _SIGNS = r"[<&\\]|''|\{\{|(^|\n)[ \t]*=|\[\[|\[(http|ftp)|__[A-Z]|(^|\n)[ \t]*(\{\||\|\})|#(REDIRECT|WEITERLEITUNG)"
 
 
-def found(cleaned: DataFrame, structured: DataFrame) -> DataFrame:
-    """(doc_id, field, markup) of markup left in bodies, headings and code blocks."""
-    ship(cleaned.sparkSession)
-    bodies = cleaned.select("doc_id", "body").where(F.col("doc_id").isNotNull() & F.col("body").rlike(_SIGNS))
-    inline = F.filter(F.transform("headings", lambda h: h["text"]), lambda t: t.rlike(r"[<&\\*_`~\[]|''|\{\{|=="))
-    codes = F.filter("code_blocks", lambda c: c["content"].rlike(r"[<&\\]"))
-    parts = structured.select("doc_id", inline.alias("headings"), codes.alias("code_blocks")).where("doc_id is not null and (size(headings) > 0 or size(code_blocks) > 0)")
-    return bodies.mapInArrow(_found_bodies, FOUND).unionByName(parts.mapInArrow(_found_parts, FOUND)).distinct()
-
-
 def _scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        total: dict[tuple, list[int]] = defaultdict(lambda: [0, 0, 0])
-        for host, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        rows = []
+        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            total: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0])
             for path, words, bad in containers(text):
-                t = total[host, path]
+                t = total[path]
                 t[0] += 1
                 t[1] += words
                 t[2] += bad
-        if total:
-            rows = [(*k, *v) for k, v in total.items()]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["host", "path", "votes", "words", "other"])
+            rows += [(doc, k, *v) for k, v in total.items()]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "path", "votes", "words", "other"])
 
 
-def votes(texts: DataFrame) -> DataFrame:
-    """(host, path, votes, words, other, content): what each host's texts say of a container path. Partial sums leave the tasks."""
-    marked = texts.where(F.col("text").rlike(_SIGNS)).select("host", "text")
-    by = marked.mapInArrow(_scores, "host string, path string, votes bigint, words bigint, other bigint").groupBy("host", "path").agg(*(F.sum(c).alias(c) for c in ("votes", "words", "other")))
+#: Containers of a host that a path needs before it can lose.
+LEAST_VOTES = 5
+
+
+def votes(scores: DataFrame) -> DataFrame:
+    """(host, path, votes, words, other, content): what each host's texts say of a container path."""
+    by = scores.groupBy("host", "path").agg(*(F.sum(c).alias(c) for c in ("votes", "words", "other")))
     return by.withColumn("content", F.col("words") > 2 * F.col("other"))
 
 
-def _cleaner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def losing_paths(marked: DataFrame, hosts: DataFrame, least_votes: int = LEAST_VOTES) -> DataFrame:
+    """(doc_id, losing): the paths in a text of (doc_id, text) that the texts of its host (doc_id, host) vote out."""
+    scored = marked.mapInArrow(_scores, "doc_id string, path string, votes bigint, words bigint, other bigint").distinct()
+    scored = keep(scored.join(hosts, "doc_id", "left").withColumn("host", F.coalesce("host", F.lit(""))))
+    lost = votes(scored).where(f"not content and votes >= {least_votes}").select("host", "path")
+    return keep(scored.join(lost, ["host", "path"], "left_semi").groupBy("doc_id").agg(F.sort_array(F.collect_set("path")).alias("losing")))  # paths of one text
+
+
+def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [clean(t, frozenset(lost or ())) if t else t for t, lost in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
+        made = [extract(t, frozenset(lost or ())) for t, lost in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([t for t, _ in made], pa.string()), pa.array([sorted(k) for _, k in made], pa.list_(pa.string()))], ["doc_id", "text", "markups"])
+
+
+def _marked(texts: DataFrame) -> DataFrame:
+    return texts.where(F.col("text").rlike(_SIGNS))
+
 
+def extracted(texts: DataFrame, hosts: DataFrame) -> DataFrame:
+    """(doc_id, text, markups) of the texts (doc_id, text) with signs of markup, extracted with each host's winning paths."""
+    ship(texts.sparkSession)
+    marked = _marked(texts)
+    return marked.join(losing_paths(marked, hosts), "doc_id", "left").select("doc_id", "text", "losing").mapInArrow(_extracted, "doc_id string, text string, markups array<string>")
 
-def clean_texts(df: DataFrame, id_col: str, text_col: str, host_col: str, least_votes: int = 5) -> DataFrame:
+
+def clean_texts(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFrame:
     """(doc_id, text): the texts in the notes' own form, extracted with each host's winning paths."""
-    ship(df.sparkSession)
-    texts = df.select(F.col(id_col).cast("string").alias("doc_id"), F.coalesce(F.col(host_col), F.lit("")).alias("host"), F.col(text_col).alias("text"))
-    lost = votes(texts).where(f"not content and votes >= {least_votes}").groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("losing"))
-    lost = keep(lost)
-    return texts.join(lost, "host", "left").select("doc_id", "text", "losing").mapInArrow(_cleaner, "doc_id string, text string")
+    texts = df.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
+    hosts = df.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).cast("string").alias("doc_id")).agg(F.min(host_col).alias("host"))
+    plain = texts.where(F.coalesce(~F.col("text").rlike(_SIGNS), F.lit(True)))
+    return plain.unionByName(extracted(texts, hosts).select("doc_id", "text"))
+
+
+def found(bodies: DataFrame, hosts: DataFrame, structured: DataFrame) -> DataFrame:
+    """(doc_id, field, markup) of markup left in bodies (doc_id, text), headings and code blocks."""
+    inline = F.filter(F.transform("headings", lambda h: h["text"]), lambda t: t.rlike(r"[<&\\*_`~\[]|''|\{\{|=="))
+    codes = F.filter("code_blocks", lambda c: c["content"].rlike(r"[<&\\]"))
+    parts = structured.select("doc_id", inline.alias("headings"), codes.alias("code_blocks")).where("doc_id is not null and (size(headings) > 0 or size(code_blocks) > 0)")
+    rows = extracted(bodies, hosts).select("doc_id", F.lit("body").alias("field"), F.explode("markups").alias("markup"))
+    return rows.unionByName(parts.mapInArrow(_found_parts, FOUND)).distinct()
+
+
+def _hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "manifest").where("doc_id is not null").groupBy("doc_id").agg(F.substring_index(F.min("path"), "/", 1).alias("host"))
+
+
+def _bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "cleaned").where("doc_id is not null").select("doc_id", F.col("body").alias("text"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, field, markup) of left-over markup in bodies, headings and code blocks."""
-    return found(table(spark, sf_dir, "cleaned"), table(spark, sf_dir, "structured"))
+    return found(_bodies(spark, sf_dir), _hosts(spark, sf_dir), table(spark, sf_dir, "structured"))
 
 
 def p5_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every body as clean text, by its digest and size."""
-    hosts = table(spark, sf_dir, "manifest").groupBy("doc_id").agg(F.substring_index(F.min("path"), "/", 1).alias("host"))
-    bodies = table(spark, sf_dir, "cleaned").select("doc_id", "body").where("doc_id is not null").distinct().join(hosts, "doc_id", "left")
-    return clean_texts(bodies, "doc_id", "body", "host").select("doc_id", F.length("text").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+    bodies, hosts = _bodies(spark, sf_dir), _hosts(spark, sf_dir)
+    plain = bodies.where(F.coalesce(~F.col("text").rlike(_SIGNS), F.lit(True)))
+    out = plain.unionByName(extracted(bodies, hosts).select("doc_id", "text"))
+    return out.select("doc_id", F.length("text").alias("n_chars"), F.sha2("text", 256).alias("text_sha256")).distinct()
 
 
 def _parts_cleaner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -496,7 +522,7 @@ def _parts_cleaner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def p5_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headings and code blocks of every record without foreign markup."""
     ship(spark)
-    rows = table(spark, sf_dir, "structured").select("doc_id", "headings", "code_blocks").where("doc_id is not null").distinct()
+    rows = table(spark, sf_dir, "structured").select("doc_id", "headings", "code_blocks").where("doc_id is not null").dropDuplicates()
     return rows.mapInArrow(_parts_cleaner, "doc_id string, headings array<struct<level: int, text: string>>, code_blocks array<struct<lang: string, content: string>>")
 
 

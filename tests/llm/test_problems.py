@@ -446,6 +446,20 @@ def test_markup():
     assert markup.clean_code("bash", "a\\_b &amp;&amp; c<br/>") == "a_b && c"
 
 
+def test_hosts_vote_on_paths(spark):
+    """A path that holds links only on most pages of a host is left out on all of them, on another host it stays."""
+    menu = '<div class="menu"><a href="x">Home page here</a></div><p>Real text of the page.</p>'
+    odd = '<div class="menu">A few words that are no links</div><p>Other text.</p>'
+    rows = [(f"a{i}", menu, "site") for i in range(6)] + [("a9", odd, "site"), ("b1", odd, "other"), ("c1", "plain", None), ("c2", None, "site"), ("c3", "", "site"), (None, menu, "site")]
+    df = spark.createDataFrame(rows + rows[:2], "doc_id string, body string, host string")
+    got = {r["doc_id"]: r["text"] for r in markup.clean_texts(df, "doc_id", "body", "host").collect()}
+    assert "Real text" in got["a0"] and "Home page" not in got["a0"]
+    assert "few words" not in got["a9"] and "Other text" in got["a9"]
+    assert "few words" in got["b1"] and got["c1"] == "plain" and got["c2"] is None and got["c3"] == ""
+    made = markup.extract(menu, frozenset({"div.menu"}))
+    assert made[1] == {"html"} and "Home" not in made[0]
+
+
 @settings(deadline=None, max_examples=150)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "text ", "'''b'''", "\\emph{x}", "{{t|v}}", "\n", "&lt;", "`<b>`", "$x<y$", "}", "<table><tr><td>1</td></tr></table>", "\\begin{a}", "== h ==", "\\"]), max_size=12).map("".join))
 def test_clean_never_fails_and_keeps_words(text):
