@@ -5,12 +5,14 @@ is none).  Inside a unit every end mark that a gap follows, every end mark of a
 dense script, and every gap of Thai text is a candidate, unless it stands
 inside quotation marks or brackets that are closed in the unit.  A
 maximum-entropy model over the neighbouring tokens, their case, length, digits
-and script, the marks between and what is known of the token before decides.
+and script, the marks between and what is known of the token before decides;
+frequent tokens before a mark are features of their own.
 It is trained here on reliable boundaries of a bounded sample
 (``SAMPLE_ROWS`` texts): end marks before a capital behind an ordinary word are
 boundaries, gaps before a small letter and behind abbreviations are not.
-Abbreviations are learned as tokens that nearly always carry a period and never
-end a unit; a list of common ones serves small inputs.
+Abbreviations are learned from counts over all texts, as tokens that nearly
+always carry a period and hardly ever end a unit; a list of common ones serves
+small inputs.
 
 Null and empty texts have no sentences; positions count code points from 1;
 repeated rows count once; further columns are ignored.
@@ -27,12 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship, table
+from ..session import keep, ship, table
 from .markdown import fences
 
 SAMPLE_ROWS = 3000
-#: Texts above this size are not sampled for training; every text is split whole.
-SAMPLE_CHARS = 20_000
+#: Hits a token needs to count as an abbreviation, also as a share of all tokens with a period: a million tokens at most.
+LEAST_HITS, LEAST_RATE = 4, 1e-6
+#: Letters of an abbreviation at most.
+MOST_LETTERS = 8
+#: Hits in the sample from which a token before a mark is a feature of its own.
+TOKEN_HITS = 20
 
 #: Common abbreviations that a name, number or further word follows.
 ABBREVIATIONS = set(
@@ -273,32 +279,33 @@ def candidates(u: str, kind: str) -> list[tuple[int, tuple[str, ...], str]]:
 
 
 def _joint(f: tuple[str, ...]) -> list[tuple]:
-    """Indicator features of a candidate: the parts and their pairs."""
-    term, nxt, prev, closer, mood, known = f
-    return [(0, term), (1, nxt), (2, prev), (3, closer), (4, mood), (5, known), (6, term, nxt), (7, term, closer, nxt), (8, known, nxt), (9, prev, nxt, term), (10, term, known), (11, term, closer, mood)]
+    """Indicator features of a candidate: the parts, their pairs, and the token before where it is frequent."""
+    term, nxt, prev, closer, mood, known, token = f
+    own = [(12, token), (13, token, nxt)] if token else []
+    return [*own, (0, term), (1, nxt), (2, prev), (3, closer), (4, mood), (5, known), (6, term, nxt), (7, term, closer, nxt), (8, known, nxt), (9, prev, nxt, term), (10, term, known), (11, term, closer, mood)]
 
 
 class Model:
     """Maximum-entropy model over indicator features, and what is known of tokens before a period."""
 
-    def __init__(self, weights: dict, abbreviations: set[str]):
-        self.weights, self.abbreviations = weights, abbreviations
+    def __init__(self, weights: dict, abbreviations: set[str], may_end: set[str] = frozenset(), tokens: set[str] = frozenset()):
+        self.weights, self.abbreviations, self.may_end, self.tokens = weights, abbreviations, may_end, tokens
         self.decided: dict[tuple, bool] = {}
 
     def __getstate__(self):
-        return {"weights": self.weights, "abbreviations": self.abbreviations}
+        return {"weights": self.weights, "abbreviations": self.abbreviations, "may_end": self.may_end, "tokens": self.tokens}
 
     def __setstate__(self, s):
-        self.__init__(s["weights"], s["abbreviations"])
+        self.__init__(s["weights"], s["abbreviations"], s["may_end"], s["tokens"])
 
     def known(self, token: str) -> str:
         bare = token.lstrip("'’-–—*_")
-        if bare in MAY_END:
+        if bare in MAY_END or bare in self.may_end:
             return "may"
         return "abbr" if bare in self.abbreviations or bare in ABBREVIATIONS else "no"
 
     def cuts(self, f: tuple[str, ...], token: str) -> bool:
-        key = (*f, self.known(token) if f[0] == "." else "no")
+        key = (*f, self.known(token) if f[0] == "." else "no", token if token in self.tokens else "")
         got = self.decided.get(key)
         if got is None:
             got = self.decided[key] = sum(self.weights.get(j, 0.0) for j in _joint(key)) > 0
@@ -335,7 +342,7 @@ PRIOR = [
     *(((".", n, "num2", "", "gap", "no"), 0) for n in ("U", "l", "d")),
     *(((".", n, "num", "", "gap", "no"), 1) for n in ("U", "oU")),
     *(((".", n, "mixed", "", "gap", "no"), 1) for n in ("U", "oU")),
-    *(((".", n, p, "", "gap", "may"), 1) for n in ("U", "oU", "d") for p in ("word", "short")),
+    *(((".", n, p, "", "gap", "may"), 1) for n in ("U", "oU", "d") for p in ("word", "short", "one")),
     *((("dots", n, p, "", "gap", "no"), 1) for n in ("U", "oU", "n") for p in ("word", "none", "short")),
     *((("dots", "l", p, "", "gap", "no"), 0) for p in ("word", "none", "short")),
     *((("danda", n, "word", c, "gap", "no"), 1) for n in ("n", "U", "on", "oU", "d", "l") for c in ("", "b")),
@@ -351,59 +358,118 @@ PRIOR = [
 ]
 
 
-def fit(texts: list[str], rounds: int = 300) -> Model:
-    """Learn abbreviations and weights from unlabelled texts."""
-    with_period, bare, ends = Counter(), Counter(), Counter()
-    seen = []
-    for text in texts:
-        for begin, end, kind in units(text):
-            if kind == "h":
-                continue
-            u = text[begin:end]
-            last = re.search(r"([^\s()«»„“”\"]+)\.\W*$", u)
-            if last:
-                ends[last[1]] += 1
-            for w in re.findall(r"[^\W\d_]+(?:\.[^\W\d_]+)*(?=[\s,;])", u):
-                bare[w] += 1
-            for c in candidates(u, kind):
-                seen.append(c)
-                if c[1][0] == "." and not c[1][3]:
-                    with_period[c[2]] += 1
-    learned = {w for w, n in with_period.items() if n >= 4 and w and not w[0].isdigit() and len(w) <= 8 and ends[w] <= 0.02 * n and bare[w] <= 0.1 * n}
-    model = Model({}, learned)
+_PERIOD = re.compile(r"(?<![^\s()\[\]（）「」『』“”„«»\"‘¿¡])([^\s()\[\]（）「」『』“”„«»\"‘¿¡]{1,%d})\.(?=\s+\S)" % MOST_LETTERS)
+_LAST = re.compile(r"([^\s()«»„“”\"]+)\.\W*$")
+_BARE = re.compile(r"(?<![\w.'’])([^\W\d_]+(?:\.[^\W\d_]+)*)(?=[\s,;])")
+
+
+def token_counts(text: str) -> tuple[Counter, Counter, Counter]:
+    """Tokens of a text with a period inside a unit, those at a unit's end, and those without a period."""
+    inside, ends, bare = Counter(), Counter(), Counter()
+    for begin, end, kind in units(text):
+        if kind == "h":
+            continue
+        u = text[begin:end]
+        if last := _LAST.search(u[-200:]):
+            ends[last[1]] += 1
+        if "." in u:
+            inside.update(_PERIOD.findall(u))
+        bare.update(w for w in _BARE.findall(u) if len(w) <= MOST_LETTERS)
+    return inside, ends, bare
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to (token, inside, ends, bare), partial sums; only tokens that carry a period somewhere in the task."""
+    total = (Counter(), Counter(), Counter())
+
+    def rows() -> pa.RecordBatch:
+        names = [w for w in total[0] if w and not w[0].isdigit()]
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[w] for w in names], pa.int64()) for c in total)], ["token", "inside", "ends", "bare"])
+
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            if text:
+                for t, c in zip(total, token_counts(text), strict=True):
+                    t.update(c)
+        if sum(map(len, total)) > 1_000_000:
+            yield rows()
+            for t in total:
+                t.clear()
+    if total[0]:
+        yield rows()
+
+
+def abbreviations(df: DataFrame, text_col: str) -> tuple[set[str], set[str]]:
+    """By counts over all texts: tokens that nearly always carry a period and hardly ever end a unit, and single letters that do end units."""
+    ship(df.sparkSession)
+    by = df.select(text_col).mapInArrow(_counts, "token string, inside bigint, ends bigint, bare bigint").groupBy("token").agg(*(F.sum(c).alias(c) for c in ("inside", "ends", "bare")))
+    kept = keep(by.where(f"inside >= {LEAST_HITS} and bare <= 0.1 * inside and (ends <= 0.02 * inside or length(token) = 1)"))
+    total = kept.agg(F.sum("inside")).first()[0] or 0
+    rows = kept.where(F.col("inside") >= LEAST_RATE * total).collect()  # 1 / LEAST_RATE rows at most
+    return _sorted_out({r["token"]: (r["inside"], r["ends"], r["bare"]) for r in rows})
+
+
+def _sorted_out(counts: dict[str, tuple[int, int, int]]) -> tuple[set[str], set[str]]:
+    always = {w: (n, e) for w, (n, e, b) in counts.items() if n >= LEAST_HITS and not w[0].isdigit() and b <= 0.1 * n}
+    return {w for w, (n, e) in always.items() if e <= 0.02 * n}, {w for w, (n, e) in always.items() if len(w) == 1 and e >= 0.1 * n}
+
+
+def fit(texts: list[str], learned: tuple[set[str], set[str]] | None = None, rounds: int = 300) -> Model:
+    """Learn weights from unlabelled texts, given abbreviations and letters that may end (by the same texts where there are none)."""
+    if learned is None:
+        counts = (Counter(), Counter(), Counter())
+        for text in texts:
+            for c, more in zip(counts, token_counts(text), strict=True):
+                c.update(more)
+        learned = _sorted_out({w: (n, counts[1][w], counts[2][w]) for w, n in counts[0].items()})
+    seen = [c for text in texts for begin, end, kind in units(text) if kind != "h" for c in candidates(text[begin:end], kind)]
+    hits = Counter(token for _, f, token in seen if f[0] == ".")
+    tokens = {w for w, n in hits.items() if n >= TOKEN_HITS and w}
+    model = Model({}, *learned, tokens)
     counts: dict[tuple, list[float]] = defaultdict(lambda: [0.0, 0.0])
+    by_token: dict[tuple, list[float]] = defaultdict(lambda: [0.0, 0.0])
     for f, y in PRIOR:
-        counts[f][y] += 20.0
+        counts[(*f, "")][y] += 20.0
     for _, f, token in seen:
         term, nxt, prev, closer, _ = f
         known = model.known(token) if term == "." else "no"
-        key = (*f, known)
         if known == "abbr" or (nxt == "l" and term in (".", "!", "dots", "greek")):
-            counts[key][0] += 1
+            y = 0
         elif term == "." and prev == "num2" and nxt == "U" and not closer:
-            counts[key][0] += 1
+            y = 0
         elif not closer and nxt in ("U", "oU") and (term in ("!", "dots", "greek") or (term == "." and prev == "word" and known == "no")):
-            counts[key][1] += 1
+            y = 1
+        else:
+            continue  # not reliable
+        counts[(*f, known, "")][y] += 1
+        if token in tokens:
+            by_token[(*f, known, token)][y] += 1
+    weights = _descend(counts, {}, rounds)
+    # what the single tokens add to that
+    return Model(_descend(by_token, weights, rounds), *learned, tokens)
+
+
+def _descend(counts: dict[tuple, list[float]], fixed: dict, rounds: int) -> dict:
+    """Weights of the features of labelled candidates by gradient ascent of the likelihood; those given stay."""
     names: dict[tuple, int] = {}
-    rows = [[names.setdefault(j, len(names)) for j in _joint(k)] for k in counts]
-    x = np.zeros((len(rows), len(names)))
-    for i, r in enumerate(rows):
-        x[i, r] = 1
+    rows = [[names.setdefault(j, len(names)) for j in _joint(k) if j not in fixed] for k in counts]
+    base = np.array([sum(fixed.get(j, 0.0) for j in _joint(k)) for k in counts])
+    of, at = np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.array([k for r in rows for k in r], np.int64)
     n = np.array([np.log1p(sum(v)) for v in counts.values()])
     y = np.array([v[1] / sum(v) for v in counts.values()])
     w = np.zeros(len(names))
-    for _ in range(rounds):
-        p = 1 / (1 + np.exp(-x @ w))
-        w -= 0.5 * (x.T @ (n * (p - y)) / n.sum() * 8 + 1e-3 * w)
-    return Model({j: float(w[k]) for j, k in names.items()}, learned)
+    for _ in range(rounds if len(w) else 0):
+        p = 1 / (1 + np.exp(-base - np.bincount(of, weights=w[at], minlength=len(rows))))
+        w -= 0.5 * (np.bincount(at, weights=(n * (p - y))[of], minlength=len(names)) / n.sum() * 8 + 1e-3 * w)
+    return {**fixed, **{j: float(w[k]) for j, k in names.items()}}
 
 
 def sample_model(df: DataFrame, id_col: str, text_col: str, rows: int = SAMPLE_ROWS) -> Model:
-    """A model fitted on at most ``rows`` texts, chosen by a hash of the id."""
-    ids = [r[0] for r in df.where(F.length(text_col) <= SAMPLE_CHARS).select(id_col).orderBy(F.xxhash64(id_col), id_col).limit(rows).collect()]
+    """Abbreviations by all texts, weights by at most ``rows`` whole texts, chosen by a hash of the id."""
+    ids = [r[0] for r in df.where(F.col(text_col) != "").select(id_col).orderBy(F.xxhash64(id_col), id_col).limit(rows).collect()]
     # a short list of ids goes back as a filter, so that only their texts reach the driver
     got = df.where(F.col(id_col).isin(ids)).select(text_col).collect() if ids else []
-    return fit(sorted({r[0] for r in got if r[0]}))
+    return fit(sorted({r[0] for r in got if r[0]}), abbreviations(df, text_col))
 
 
 def _run(model, with_text: bool):
