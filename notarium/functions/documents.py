@@ -65,8 +65,7 @@ def audit_fence_flags(lines: list[str]) -> list[bool]:
             out.append(bool(opener))
         else:
             out.append(True)
-            bare = line.strip()
-            if _RUN.match(bare) and bare.startswith(opener):
+            if _RUN.match(line) and line.startswith(opener):
                 opener = ""
     return out
 

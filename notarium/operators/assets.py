@@ -32,6 +32,6 @@ def run_row(spark: SparkSession, stage: str, inputs: DataFrame, key: str, parame
     A stage may be skipped when mark and parameters are those of an earlier
     run; parameters are part of the key.
     """
-    mark = inputs.agg(F.count("*").alias("rows"), F.expr(f"bit_xor(xxhash64({key}))").alias("mark"))
+    mark = inputs.agg(F.count("*").alias("rows"), F.expr(f"sum(cast(xxhash64({key}) as decimal(38, 0)))").alias("mark"), F.expr(f"bit_xor(xxhash64({key}, 7))").alias("other"))
     text = json.dumps(parameters, sort_keys=True)
-    return mark.select(F.lit(stage).alias("stage"), "rows", F.sha2(F.concat_ws("|", F.coalesce("mark", F.lit(0)).cast("string"), F.lit(text)), 256).alias("run_key"), F.lit(text).alias("parameters"), F.lit(seconds).alias("seconds"))
+    return mark.select(F.lit(stage).alias("stage"), "rows", F.sha2(F.concat_ws("|", F.col("rows").cast("string"), F.coalesce("mark", F.lit(0)).cast("string"), F.coalesce("other", F.lit(0)).cast("string"), F.lit(text)), 256).alias("run_key"), F.lit(text).alias("parameters"), F.lit(seconds).alias("seconds"))

@@ -49,8 +49,42 @@ def index_percentiles(df: DataFrame, key: str, value: str, tie: str, points: lis
 
 
 def set_mark(df: DataFrame, keys: list[str], sha: str) -> DataFrame:
-    """A mark of a set of files that does not depend on order: the exclusive or of their hashes' first 60 bits."""
-    return df.groupBy(*keys).agg(F.count("*").alias("files"), F.expr(f"bit_xor(cast(conv(substr({sha}, 1, 15), 16, 10) as bigint))").alias("mark"))
+    """A mark of a multiset of files that does not depend on order: SHA-256 of the count, the sum and the exclusive or of their hashes' halves.
+
+    Equal hashes do not cancel each other, as the sums and the count hold them; the parts come from partial aggregates.
+    """
+    half = lambda at: f"cast(conv(substr({sha}, {at}, 15), 16, 10) as decimal(38, 0))"
+    parts = [F.sum(F.expr(half(1))).alias("_a"), F.sum(F.expr(half(16))).alias("_b"), F.expr(f"bit_xor(cast(conv(substr({sha}, 31, 15), 16, 10) as bigint))").alias("_c")]
+    out = df.groupBy(*keys).agg(F.count("*").alias("files"), *parts)
+    return out.withColumn("mark", F.substring(F.sha2(F.concat_ws("|", *(F.col(c).cast("string") for c in ("files", "_a", "_b", "_c"))), 256), 1, 16)).drop("_a", "_b", "_c")
+
+
+def numbered(df: DataFrame, key: str, slots: int = 64) -> DataFrame:
+    """(key, n): distinct keys numbered from 0 in their order; parts of the order are numbered on their own, after what is before them."""
+    ids = df.select(key).distinct().repartitionByRange(slots, key).select(key, F.spark_partition_id().alias("_p"))
+    from ..session import keep
+
+    ids = keep(ids)  # a part stays what it is
+    sizes = ids.groupBy("_p").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # one row a part
+    w = Window.partitionBy("_p").orderBy(key)
+    return ids.join(F.broadcast(before.select("_p", "_before")), "_p").select(key, (F.col("_before") + F.row_number().over(w) - 1).alias("n"))
+
+
+def placed(df: DataFrame, key: str, order: list[Column], slots: int = 16) -> DataFrame:
+    """Add ``place``, the number of each row within its key by an order without ties.
+
+    All rows are sorted once into parts by key and order; a key that fills several parts is numbered in
+    each of them, after what the parts before hold of it.  No key is a single task.
+    """
+    from ..session import keep
+
+    rows = keep(df.repartitionByRange(slots, F.col(key), *order).withColumn("_p", F.spark_partition_id()))
+    sizes = rows.groupBy(key, "_p").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(key).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # ``slots`` rows a key at most
+    sizes = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    inside = Window.partitionBy(key, "_p").orderBy(*order)
+    return rows.withColumn("_k", F.row_number().over(inside)).join(sizes, [key, "_p"]).withColumn("place", F.col("_before") + F.col("_k")).drop("_p", "_k", "_before")
 
 
 def top_terms(df: DataFrame, group: str, term: str, k: int) -> DataFrame:

@@ -9,54 +9,63 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ship
+from ..session import keep, ship
 from . import graph
 
-#: Rows of a query block and parts of the searched side.
-BLOCK, PARTS = 512, 16
+#: Vectors of a query block, in bytes: a block is what each task holds besides a batch of the searched rows.
+BLOCK_BYTES = 16 << 20
 #: Rows of a block where all vectors meet all others.
 PAIR_BLOCK = 1024
 
 
-def _score(theta: float):
+def _matrix(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(batch.num_rows, -1)
+
+
+def _score(block, theta: float, nearest: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        queries, rows = [], []
-        for b in batches:
-            v = np.array(b.column("v").to_pylist(), np.float64).reshape(b.num_rows, -1)
-            side = b.column("query").to_numpy(zero_copy_only=False)
-            ids = b.column("id").to_numpy()
-            queries.append((ids[side], v[side]))
-            rows.append((ids[~side], v[~side]))
-        q = [(i, v) for i, v in queries if len(i)]
-        r = [(i, v) for i, v in rows if len(i)]
-        if not q or not r:
-            return
-        qi, qv = np.concatenate([i for i, _ in q]), np.concatenate([v for _, v in q])
-        for ri, rv in r:
-            s = qv @ rv.T
-            a, c = np.nonzero(s >= theta - 1e-9)
-            keep = qi[a] != ri[c]
-            yield pa.RecordBatch.from_arrays([pa.array(qi[a][keep]), pa.array(ri[c][keep]), pa.array(s[a, c][keep])], ["query_id", "vec_id", "cosine"])
+        qi, qv = block.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ri, s = batch.column(0).to_numpy(), qv @ _matrix(batch).T
+            s[qi[:, None] == ri[None, :]] = -2.0  # a vector is no neighbour of itself
+            if nearest:  # the best of a batch for each query, ties by the least id
+                near = np.round(s, 9)
+                best = near.max(1)
+                c = np.where(near == best[:, None], ri[None, :], np.iinfo(np.int64).max).argmin(1)
+                a = np.flatnonzero(best >= theta - 1e-9)
+                c = c[a]
+            else:
+                a, c = np.nonzero(s >= theta - 1e-9)
+            yield pa.RecordBatch.from_arrays([pa.array(qi[a]), pa.array(ri[c]), pa.array(s[a, c])], ["query_id", "vec_id", "cosine"])
 
     return run
 
 
-def search(vectors: DataFrame, queries: DataFrame, id_col: str, vec_col: str, theta: float) -> DataFrame:
-    """(query_id, vec_id, cosine) of every vector within theta of a stated query set, exactly.
+def search(vectors: DataFrame, queries: DataFrame, id_col: str, vec_col: str, theta: float, nearest: bool = False) -> DataFrame:
+    """(query_id, vec_id, cosine) of every vector within theta of a stated query set, exactly; with ``nearest`` the best of each batch only.
 
-    Queries come in blocks, the searched rows in parts; each block meets each
-    part once, as a matrix product.  Vectors are unit length; null vectors are
-    left out; a vector is no neighbour of itself.
+    The queries are broadcast in blocks of BLOCK_BYTES; for each block one scan over the searched rows
+    multiplies batch by batch, so nothing is shuffled and no row is copied.  Vectors are unit length; null
+    vectors are left out; a vector is no neighbour of itself.
     """
-    ship(vectors.sparkSession)
-    parts = PARTS
-    q = queries.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
-    r = vectors.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
-    blocks = max(1, -(-q.count() // BLOCK))
-    q = q.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn("query", F.lit(True))
-    r = r.withColumn("part", F.pmod(F.hash("id"), F.lit(parts))).withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint")))).withColumn("query", F.lit(False))
-    both = q.select("block", "part", "query", "id", "v").unionByName(r.select("block", "part", "query", "id", "v"))
-    return both.groupBy("block", "part").applyInArrow(_score(theta), "query_id bigint, vec_id bigint, cosine double")
+    spark = vectors.sparkSession
+    ship(spark)
+    plain = lambda df: df.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<double>").alias("v"))
+    schema = "query_id bigint, vec_id bigint, cosine double"
+    q, r = keep(plain(queries)), plain(vectors)
+    n, width = q.agg(F.count("*"), F.max(F.size("v"))).first()
+    if not n:
+        return spark.createDataFrame([], schema)
+    blocks = -(-n * width * 8 // BLOCK_BYTES)
+    out = None
+    for k in range(blocks):
+        rows = q.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == k).toArrow()  # about BLOCK_BYTES
+        ids, values = rows.column(0).to_numpy(), rows.column(1).combine_chunks().flatten().to_numpy().reshape(rows.num_rows, -1)
+        found = r.mapInArrow(_score(spark.sparkContext.broadcast((ids, values)), theta, nearest), schema)
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def _score_blocks(theta: float):
@@ -97,6 +106,18 @@ def all_pairs(vectors: DataFrame, id_col: str, vec_col: str, theta: float) -> Da
     return met.groupBy("p", "q").applyInArrow(_score_blocks(theta), "a bigint, b bigint, cosine double")
 
 
+def all_pairs_by_key(vecs: DataFrame, theta: float) -> DataFrame:
+    """(a, b, embedding) of (doc_id, v): every two within theta, a < b, whatever the type of the key; vectors of any length."""
+    from .corpus import numbered
+
+    size = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    names = keep(numbered(vecs, "doc_id"))
+    unit = vecs.where("v is not null").join(names, "doc_id").withColumn("_size", size).where("_size > 0").select("n", F.transform("v", lambda x: x.cast("double") / F.col("_size")).alias("v"))
+    met = all_pairs(keep(unit), "n", "v", theta).where(F.col("cosine") >= theta)
+    a, b = names.select(F.col("doc_id").alias("a"), F.col("n").alias("_a")), names.select(F.col("doc_id").alias("b"), F.col("n").alias("_b"))
+    return met.select(F.col("a").alias("_a"), F.col("b").alias("_b"), F.col("cosine").alias("embedding")).join(a, "_a").join(b, "_b").select("a", "b", "embedding")
+
+
 def classes(vectors: DataFrame, pairs: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """(node, component): one row a vector, with the least vector it is connected with; one without pairs is its own."""
     nodes = vectors.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("node")).distinct()
@@ -104,8 +125,10 @@ def classes(vectors: DataFrame, pairs: DataFrame, id_col: str, vec_col: str) ->
 
 
 def mean_similarity(df: DataFrame, group: str, vec_col: str) -> DataFrame:
-    """(group, n, mean): the mean cosine of all pairs of a group, from the length of the sum of its unit vectors; 0 for fewer than two."""
-    parts = df.select(group, F.posexplode(vec_col).alias("i", "x")).groupBy(group, "i").agg(F.sum(F.col("x").cast("double")).alias("s"), F.count("*").alias("n"))
+    """(group, n, mean): the mean cosine of all pairs of a group, from the length of the sum of its vectors, made unit length; 0 for fewer than two."""
+    size = F.sqrt(F.aggregate(vec_col, F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    unit = df.where(F.col(vec_col).isNotNull()).withColumn("_size", size).withColumn(vec_col, F.transform(vec_col, lambda x: x.cast("double") / F.col("_size")))
+    parts = unit.select(group, F.posexplode(vec_col).alias("i", "x")).groupBy(group, "i").agg(F.sum(F.col("x").cast("double")).alias("s"), F.count("*").alias("n"))
     length = parts.groupBy(group).agg(F.sum(F.col("s") * F.col("s")).alias("ss"), F.max("n").alias("n"))
     return length.select(group, "n", F.round(F.when(F.col("n") > 1, (F.col("ss") - F.col("n")) / (F.col("n") * (F.col("n") - 1))).otherwise(0.0), 4).alias("mean"))
 

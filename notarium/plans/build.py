@@ -79,7 +79,7 @@ def p14(spark: SparkSession, d: str) -> DataFrame:
 
 @query("d19_promotion", b.with_(b.C, b.S) + "select s.doc_id, coalesce(json_extract_string(c.frontmatter, '$.title'), s.title) as title, case when c.doc_id is null then 'create' when json_extract_string(c.frontmatter, '$.status') in ('review', 'stable') then 'replace' else 'suffix' end as action from s left join c on s.doc_id = c.doc_id")
 def d19(spark: SparkSession, d: str) -> DataFrame:
-    c = b.cleaned(spark, d).select("doc_id", F.get_json_object("frontmatter", "$.title").alias("own"), F.get_json_object("frontmatter", "$.status").alias("status"), F.lit(True).alias("there"))
+    c = b.cleaned(spark, d, False).select("doc_id", F.get_json_object("frontmatter", "$.title").alias("own"), F.get_json_object("frontmatter", "$.status").alias("status"), F.lit(True).alias("there"))
     action = F.when(F.col("there").isNull(), "create").when(F.col("status").isin("review", "stable"), "replace").otherwise("suffix")
     return b.structured(spark, d).select("doc_id", "title").join(c, "doc_id", "left").select("doc_id", F.coalesce("own", "title").alias("title"), action.alias("action"))
 

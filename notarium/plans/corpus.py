@@ -142,7 +142,7 @@ def m7(spark: SparkSession, d: str) -> DataFrame:
     return b.manifest(spark, d).agg(F.count_if(b.folder() == "inbox").alias("unsorted"), F.count_if(F.col("word_count").isNull()).alias("uncounted"), F.count_if(F.col("modified_at").isNull()).alias("undated"))
 
 
-@query("a26_input_hash", b.with_(b.M, f"h as (select split_part(path, '/', 1) as folder, {HASH.format('sha256')} as sha from m)") + "select folder, count(*) as files, bit_xor(('0x' || substr(sha, 1, 15))::bigint) as mark from h where sha is not null group by folder")
+@query("a26_input_hash", b.with_(b.M, f"h as (select split_part(path, '/', 1) as folder, {HASH.format('sha256')} as sha from m)") + "select folder, count(*) as files, substr(sha256(concat_ws('|', count(*)::varchar, sum(('0x' || substr(sha, 1, 15))::bigint)::hugeint::varchar, sum(('0x' || substr(sha, 16, 15))::bigint)::hugeint::varchar, bit_xor(('0x' || substr(sha, 31, 15))::bigint)::varchar)), 1, 16) as mark from h where sha is not null group by folder")
 def a26(spark: SparkSession, d: str) -> DataFrame:
     rows = b.manifest(spark, d).select(b.folder().alias("folder"), op.plain_hash("sha256").alias("sha")).where("sha is not null")
     return op.set_mark(rows, ["folder"], "sha").select("folder", "files", "mark")

@@ -123,7 +123,7 @@ _Q = ", ".join(
 def scores(spark: SparkSession, d: str) -> DataFrame:
     """The five scores of each record that has structure, the two axes, band and tier."""
     m = b.manifest(spark, d).select("doc_id", F.col("path").alias("relpath"), "word_count", "char_count")
-    c = b.cleaned(spark, d).select("doc_id", "frontmatter", F.lower("normalized_sha256").alias("sha"))
+    c = b.cleaned(spark, d, False).select("doc_id", "frontmatter", F.lower("normalized_sha256").alias("sha"))
     s = b.structured(spark, d)
     stem = s.select("doc_id", F.split("title", " ")[0].alias("stem"))
     weighted = b.findings(spark, d).groupBy("relpath").agg(F.sum(op.severity_weight("severity")).alias("weighted"))
@@ -173,11 +173,10 @@ def t3(spark: SparkSession, d: str) -> DataFrame:
     return scores(spark, d).orderBy("readiness", "doc_id").limit(15).select("doc_id", "readiness", F.expr(_WEAK).alias("weakest"))
 
 
-@query("t4_high_value", "with " + _Q + " select doc_id, integration, readiness, row_number() over (order by integration desc, readiness desc, doc_id) as place from z where band in ('produktiv', 'nutzbar') order by place limit 100")
+@query("t4_high_value", "with " + _Q + " select doc_id, integration, readiness from z where band in ('produktiv', 'nutzbar') and tier = 'hub-kandidat' order by integration desc, readiness desc, doc_id")
 def t4(spark: SparkSession, d: str) -> DataFrame:
-    top = scores(spark, d).where("band in ('produktiv', 'nutzbar')").orderBy(F.desc("integration"), F.desc("readiness"), "doc_id").limit(100)
-    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("integration"), F.desc("readiness"), "doc_id")  # 100 rows
-    return top.select("doc_id", "integration", "readiness", F.row_number().over(order).cast("bigint").alias("place"))
+    """All hubs that are ready for use, best first; the rows are sorted across parts, so no task holds them all."""
+    return scores(spark, d).where("band in ('produktiv', 'nutzbar') and tier = 'hub-kandidat'").select("doc_id", "integration", "readiness").orderBy(F.desc("integration"), F.desc("readiness"), "doc_id")
 
 
 @query("t5_lever", "with " + _Q + ", u as (select unnest(['d1', 'd2', 'd3', 'd4']) as dimension, unnest([d1, d2, d3, d4]) as score from z), x as (select dimension, round(quantile_cont(score, 0.5), 4) as median from u group by dimension) select dimension, median from x order by median, dimension limit 1")

@@ -32,7 +32,7 @@ def d22(spark: SparkSession, d: str) -> DataFrame:
 
 @query("d28_enforce", b.with_(b.C, b.S, b.M) + f"select s.doc_id, nullif(trim(s.title), '') as title, 'draft' as status, 'ai_drafted' as review_status, coalesce(json_extract_string(c.frontmatter, '$.created'), strftime(m.modified_at, '%Y-%m-%d')) as created, strftime(m.modified_at, '%Y-%m-%d') as updated, case when nullif(trim(s.title), '') is null then 'low' when {_status} = 'stable' then 'high' else 'medium' end as confidence from s left join c on s.doc_id = c.doc_id left join m on s.doc_id = m.doc_id")
 def d28(spark: SparkSession, d: str) -> DataFrame:
-    c = b.cleaned(spark, d).select("doc_id", F.get_json_object("frontmatter", "$.created").alias("created"), F.get_json_object("frontmatter", "$.status").alias("st"))
+    c = b.cleaned(spark, d, False).select("doc_id", F.get_json_object("frontmatter", "$.created").alias("created"), F.get_json_object("frontmatter", "$.status").alias("st"))
     drafts = b.structured(spark, d).select("doc_id", F.nullif(F.trim("title"), F.lit("")).alias("title")).join(c, "doc_id", "left")
     drafts = drafts.withColumn("updated", F.lit(None).cast("string")).withColumn("confidence", F.when(F.col("st") == "stable", "high").otherwise("medium"))
     day = F.date_format("modified_at", "yyyy-MM-dd")
@@ -80,11 +80,14 @@ def u2(spark: SparkSession, d: str) -> DataFrame:
     return m.join(new, "doc_id", "left_semi").groupBy(b.folder().alias("folder")).agg(F.count("*").alias("new_docs"))
 
 
-@query("u4_ordered_sources", b.with_(b.S, b.LINKS) + "select target, string_agg(doc_id, ',' order by doc_id) as docs from (select *, row_number() over (partition by target order by doc_id) as rn from k) where rn <= 20 group by target")
+@query("u4_ordered_sources", b.with_(b.S, b.LINKS, "x as (select target, doc_id, min(modified_at) as seen from k left join manifest using (doc_id) group by 1, 2)") + "select target, doc_id, row_number() over (partition by target order by seen nulls last, doc_id) as place from x")
 def u4(spark: SparkSession, d: str) -> DataFrame:
-    """The first twenty documents that link to each target, in order (a report's list)."""
-    k = b.links(spark, d).withColumn("rn", F.row_number().over(Window.partitionBy("target").orderBy("doc_id"))).where("rn <= 20")
-    return k.groupBy("target").agg(F.array_join(F.sort_array(F.collect_list("doc_id")), ",").alias("docs"))
+    """The documents that link to each target, each once, in the order in which they were first seen; one row each, so no list grows."""
+    from ..operators.corpus import placed
+    from ..session import table
+
+    seen = table(spark, d, "manifest").groupBy("doc_id").agg(F.min("modified_at").alias("seen"))
+    return placed(b.links(spark, d).join(seen, "doc_id", "left"), "target", [F.col("seen").asc_nulls_last(), F.col("doc_id")]).select("target", "doc_id", "place")
 
 
 @query("d13_synthesis", b.with_(b.C, b.TAGS, "z as (select doc_id, string_agg(tag, ',' order by tag) as items from t group by doc_id)", "n as (select items, count(*) as n from z group by items)") + "select z.doc_id, round(40 * (n.n >= 3)::int + 30 * least(1.0, (n.n - 1) / 3.0), 4)::double as score from z join n on z.items = n.items")

@@ -106,7 +106,7 @@ _NT = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(repla
 
 @query("f34_tag_transform", b.with_(b.C) + f"select doc_id, {_NT} as slug from (select doc_id, json_extract_string(frontmatter, '$.title') as x from c) where x is not null")
 def f34(spark: SparkSession, d: str) -> DataFrame:
-    x = b.cleaned(spark, d).select("doc_id", F.get_json_object("frontmatter", "$.title").alias("x")).where("x is not null")
+    x = b.cleaned(spark, d, False).select("doc_id", F.get_json_object("frontmatter", "$.title").alias("x")).where("x is not null")
     return x.select("doc_id", op.normal_tag("x").alias("slug"))
 
 
@@ -137,7 +137,7 @@ def p16(spark: SparkSession, d: str) -> DataFrame:
 @query("j15_fm_diff", b.with_(b.C, b.S) + "select coalesce(c.doc_id, s.doc_id) as doc_id, case when c.doc_id is null then 'only structured' when s.doc_id is null then 'only cleaned' when coalesce(nullif(trim(json_extract_string(frontmatter, '$.title')), ''), '~') = coalesce(nullif(trim(s.title), ''), '~') then 'same' else 'differs' end as state from c full join s on c.doc_id = s.doc_id")
 def j15(spark: SparkSession, d: str) -> DataFrame:
     blank = lambda x: F.nullif(F.trim(x), F.lit(""))
-    c = b.cleaned(spark, d).select("doc_id", blank(F.get_json_object("frontmatter", "$.title")).alias("a"), F.lit(True).alias("in_c"))
+    c = b.cleaned(spark, d, False).select("doc_id", blank(F.get_json_object("frontmatter", "$.title")).alias("a"), F.lit(True).alias("in_c"))
     s = b.structured(spark, d).select("doc_id", blank(F.col("title")).alias("t"), F.lit(True).alias("in_s"))
     state = F.when(F.col("in_c").isNull(), "only structured").when(F.col("in_s").isNull(), "only cleaned").when(F.col("a").eqNullSafe(F.col("t")), "same").otherwise("differs")
     return c.join(s, "doc_id", "full").select("doc_id", state.alias("state"))

@@ -138,7 +138,7 @@ def test_near_dups_of_short_sections(spark, tmp_path):
     want = {(a, b): round(s, 4) for a in vec for b in vec if a < b and (s := sum(x * vec[b].get(t, 0) for t, x in vec[a].items())) >= 0.72}
     short = {i for t, i in first.items() if len(t) < 400}
     assert {len({*e} & short) for e in want} == {0, 2}
-    got = {(r["a"], r["b"]): r["similarity"] for r in catalogue.QUERIES["j6_all_near_dups"](spark, str(tmp_path)).collect()}
+    got = {(r["a"], r["b"]): r["similarity"] for r in catalogue.QUERIES["j6_near_dups"](spark, str(tmp_path)).collect()}
     assert got.keys() == want.keys() and all(abs(got[e] - want[e]) < 2e-4 for e in want)
 
 
