@@ -360,7 +360,6 @@ PRIOR = [
 
 _PERIOD = re.compile(r"(?<![^\s()\[\]（）「」『』“”„«»\"‘¿¡])([^\s()\[\]（）「」『』“”„«»\"‘¿¡]{1,%d})\.(?=\s+\S)" % MOST_LETTERS)
 _LAST = re.compile(r"([^\s()«»„“”\"]+)\.\W*$")
-_BARE = re.compile(r"(?<![\w.'’])([^\W\d_]+(?:\.[^\W\d_]+)*)(?=[\s,;])")
 
 
 def token_counts(text: str) -> tuple[Counter, Counter, Counter]:
@@ -374,24 +373,37 @@ def token_counts(text: str) -> tuple[Counter, Counter, Counter]:
             ends[last[1]] += 1
         if "." in u:
             inside.update(_PERIOD.findall(u))
-        bare.update(w for w in _BARE.findall(u) if len(w) <= MOST_LETTERS)
+        bare.update(u.split())
     return inside, ends, bare
 
 
+def _without_period(bare: Counter) -> Counter:
+    """Counts of tokens between gaps to those of short words without a period, a comma or colon behind them left out."""
+    out: Counter = Counter()
+    for w, n in bare.items():
+        w = w.rstrip(",;:")
+        if w and len(w) <= MOST_LETTERS and w[-1] != ".":
+            out[w] += n
+    return out
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts to (token, inside, ends, bare), partial sums; only tokens that carry a period somewhere in the task."""
     total = (Counter(), Counter(), Counter())
+    bare: Counter = Counter()
 
     def rows() -> pa.RecordBatch:
         names = [w for w in total[0] if w and not w[0].isdigit()]
+        total[2].update(_without_period(bare))
+        bare.clear()
         return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([c[w] for w in names], pa.int64()) for c in total)], ["token", "inside", "ends", "bare"])
 
     for batch in batches:
         for text in batch.column(0).to_pylist():
             if text:
-                for t, c in zip(total, token_counts(text), strict=True):
+                for t, c in zip((total[0], total[1], bare), token_counts(text), strict=True):
                     t.update(c)
-        if sum(map(len, total)) > 1_000_000:
+        if sum(map(len, total)) + len(bare) > 1_000_000:
             yield rows()
             for t in total:
                 t.clear()
@@ -421,7 +433,8 @@ def fit(texts: list[str], learned: tuple[set[str], set[str]] | None = None, roun
         for text in texts:
             for c, more in zip(counts, token_counts(text), strict=True):
                 c.update(more)
-        learned = _sorted_out({w: (n, counts[1][w], counts[2][w]) for w, n in counts[0].items()})
+        plain = _without_period(counts[2])
+        learned = _sorted_out({w: (n, counts[1][w], plain[w]) for w, n in counts[0].items()})
     seen = [c for text in texts for begin, end, kind in units(text) if kind != "h" for c in candidates(text[begin:end], kind)]
     hits = Counter(token for _, f, token in seen if f[0] == ".")
     tokens = {w for w, n in hits.items() if n >= TOKEN_HITS and w}
