@@ -72,7 +72,7 @@ _GAP = re.compile(r"\s*")
 _QUOTED_GAP = re.compile(r"(?:\s|(?<=\n)[^\S\n]*>[^\S\n]?)*")
 _HEADING = re.compile(r"[^\S\n]*#{1,6}[^\S\n]+")
 _ITEM = re.compile(r"[^\S\n]*(?:[-*+•‣◦]|\d{1,3}[.)])[^\S\n]+(?:\[[ xX]\][^\S\n]+)?")
-_QUOTE = re.compile(r"[^\S\n]*(?:>[^\S\n]?)+(?:\[![^\]\n]*\][-+]?[^\S\n]*)?")
+_QUOTE = re.compile(r"[^\S\n]*(?:>[^\S\n]*)+(?:\[![^\]\n]*\][-+]?[^\S\n]*)?")
 _RULE = re.compile(r"[^\w]*$")
 _SPECIAL = re.compile(r"[^\S\n]*(?:#|>|[-*+•‣◦]|\d)")
 _TOKEN_BEFORE = re.compile(r"[^\s()\[\]（）「」『』“”„«»\"‘¿¡]+$")
