@@ -55,21 +55,28 @@ def fence_flags(lines: list[str]) -> list[bool]:
     return out
 
 
-def audit_fence_flags(lines: list[str]) -> list[bool]:
-    """The audit's rule: a fence begins at the line's start and closes at any fence line that starts with the opener's run."""
+def audit_fence_marks(lines: list[str]) -> list[int]:
+    """The audit's rule: a fence begins at the line's start and closes at any fence line there that starts with the opener's run. 0 text, 1 code, 2 opener."""
     out, opener = [], ""
     for line in lines:
-        if not opener:
-            m = _RUN.match(line)
-            opener = m[1] if m else ""
-            out.append(bool(opener))
-        else:
-            out.append(True)
-            if _RUN.match(line) and line.startswith(opener):
+        m = _RUN.match(line)
+        if opener:
+            out.append(1)
+            if m and line.startswith(opener):
                 opener = ""
+        elif m:
+            opener = m[1]
+            out.append(2)
+        else:
+            out.append(0)
     return out
 
 
+def audit_fence_flags(lines: list[str]) -> list[bool]:
+    """Whether each line is code by the audit's rule."""
+    return [m > 0 for m in audit_fence_marks(lines)]
+
+
 def code_blocks(text: str) -> list[tuple[str, str]]:
     """(language, content) of each fenced block; no language is ``unknown``; an open block counts if it has content."""
     out: list[tuple[str, str]] = []

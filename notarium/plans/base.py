@@ -60,10 +60,10 @@ def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _flags(name: str, opens: str, closes: str) -> str:
-    """SQL of (doc_id, marks): a digit for each line of a body, 1 for code; the state is the run that opened the fence."""
+    """SQL of (doc_id, line_no, line, code, opener): a digit for each line of a body, 0 text, 1 code, 2 opener; the state is the run that opened the fence."""
     line = f"{{'o': {opens}, 'f': x, 't': {closes}}}"
-    step = "case when x.o = '' or x.t = '' and a.o <> '' then {'o': a.o, 'f': a.f || case when a.o <> '' then '1' else '0' end, 't': ''} when a.o = '' then {'o': x.o, 'f': a.f || '1', 't': ''} when starts_with(x.t, a.o) then {'o': '', 'f': a.f || '1', 't': ''} else {'o': a.o, 'f': a.f || '1', 't': ''} end"
-    return f"{name}0 as (select doc_id, string_split(body, chr(10)) as ls from c where body is not null), {name}1 as (select doc_id, ls, list_reduce(list_transform(ls, lambda x: {line}), lambda a, x: {step}, {{'o': '', 'f': '', 't': ''}}).f as marks from {name}0), {name} as (select doc_id, unnest(ls) as line, unnest(range(1, len(ls) + 1)) as line_no, unnest(string_split(marks, '')) = '1' as code from {name}1)"
+    step = "case when x.o = '' or x.t = '' and a.o <> '' then {'o': a.o, 'f': a.f || case when a.o <> '' then '1' else '0' end, 't': ''} when a.o = '' then {'o': x.o, 'f': a.f || '2', 't': ''} when starts_with(x.t, a.o) then {'o': '', 'f': a.f || '1', 't': ''} else {'o': a.o, 'f': a.f || '1', 't': ''} end"
+    return f"{name}0 as (select doc_id, string_split(body, chr(10)) as ls from c where body is not null), {name}1 as (select doc_id, ls, list_reduce(list_transform(ls, lambda x: {line}), lambda a, x: {step}, {{'o': '', 'f': '', 't': ''}}).f as marks from {name}0), {name} as (select doc_id, unnest(ls) as line, unnest(range(1, len(ls) + 1)) as line_no, unnest(string_split(marks, '')) <> '0' as code, unnest(string_split(marks, '')) = '2' as opener from {name}1)"
 
 
 #: Lines with a flag for code by the audit's fence rule (opener at the line's start, closer begins with its run).
@@ -73,16 +73,16 @@ FENCED = _flags("l", "substr(regexp_extract(trim(x, ' ' || chr(9) || chr(13)), '
 
 
 def flagged(spark: SparkSession, sf_dir: str, audit: bool) -> DataFrame:
-    """(doc_id, line_no from 1, line, code) of every body, by the audit's fence rule or that of the normal form."""
+    """(doc_id, line_no from 1, line, code, opener) of every body, by the audit's fence rule (which tells openers) or that of the normal form."""
     from ..functions import documents as fn
 
-    flags = fn.audit_fence_flags if audit else fn.fence_flags
+    marks = fn.audit_fence_marks if audit else fn.fence_flags
 
     def rows(t: str) -> list[tuple]:
         ls = t.split("\n")
-        return [(i, line, code) for i, (line, code) in enumerate(zip(ls, flags(ls), strict=True), 1)]
+        return [(i, line, mark > 0, mark == 2) for i, (line, mark) in enumerate(zip(ls, marks(ls), strict=True), 1)]
 
-    return fn.map_texts(cleaned(spark, sf_dir).select("doc_id", "body"), "doc_id", "body", rows, "line_no bigint, line string, code boolean").withColumnRenamed("id", "doc_id")
+    return fn.map_texts(cleaned(spark, sf_dir).select("doc_id", "body"), "doc_id", "body", rows, "line_no bigint, line string, code boolean, opener boolean").withColumnRenamed("id", "doc_id")
 
 
 def words(c: str | Column) -> Column:
