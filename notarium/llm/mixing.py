@@ -98,7 +98,7 @@ def draw(sizes: DataFrame, targets: DataFrame, total: int | None = None) -> tupl
     spark = sizes.sparkSession
     rows = sizes.where("source is not null and tokens > 0")
     goal = {r["source"]: (r["target_share"], r["max_repeats"]) for r in targets.where("source is not null and target_share is not null").groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max(F.coalesce("max_repeats", F.lit(1))).alias("max_repeats")).collect()}  # one row a target
-    have = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.sum("tokens").alias("n")).join(F.broadcast(targets.select("source").distinct()), "source", "left_semi").collect()}
+    have = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.sum("tokens").alias("n")).where(F.col("source").isin(list(goal))).collect()}  # one row a target at most
     planned = spark.createDataFrame(plan(have, goal, total), PLAN)
     wanted = rows.join(F.broadcast(planned.where("budget > 0").select("source", "passes", "rest")), "source")
     whole = wanted.where("passes > 0").select("doc_id", "source", F.explode(F.sequence(F.lit(1), F.col("passes"))).alias("pass_no"), "tokens")
