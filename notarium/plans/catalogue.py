@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["corpus", "vocabulary", "quality", "lines", "similar", "documents", "build", "review", "streams", "audit"]
+MODULES = ["corpus", "vocabulary", "quality", "lines", "similar", "documents", "build", "review", "streams", "audit", "files"]
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 for _name in MODULES:

@@ -189,13 +189,6 @@ def a23(spark: SparkSession, d: str) -> DataFrame:
     return scores(spark, d).groupBy(b.folder("relpath").alias("folder")).agg(F.count("*").alias("docs"), F.count_if(F.col("band") == "produktiv").alias("productive"), F.count_if(F.col("tier") == "insel").alias("islands"), F.round(F.avg("readiness"), 4).alias("mean_readiness"))
 
 
-@query("j20_delta", b.with_(b.FI, "a as (select distinct relpath from f where fixable)", "z as (select distinct relpath from f where not fixable)") + "select coalesce(a.relpath, z.relpath) as relpath, case when z.relpath is null then 'added' else 'removed' end as change from a full join z on a.relpath = z.relpath where a.relpath is null or z.relpath is null")
-def j20(spark: SparkSession, d: str) -> DataFrame:
-    f = b.findings(spark, d)
-    now, before = f.where("fixable").select("relpath").distinct(), f.where("not fixable").select("relpath").distinct()
-    return now.join(before, "relpath", "left_anti").withColumn("change", F.lit("added")).unionByName(before.join(now, "relpath", "left_anti").withColumn("change", F.lit("removed")))
-
-
 @query("d27_done_check", b.with_(b.M, b.C, b.S, b.G) + "select 'records' as item, count(*) as n, 'ok' as state from m union all select 'no body', count(*), case when count(*) = 0 then 'ok' else 'look' end from c where body is null or body = '' union all select 'no structure', count(*), case when count(*) = 0 then 'ok' else 'look' end from m where doc_id not in (select doc_id from s) union all select 'no segments', count(*), case when count(*) = 0 then 'ok' else 'look' end from m where doc_id not in (select doc_id from g) union all select 'same hash', count(*), case when count(*) = 0 then 'ok' else 'look' end from (select lower(replace(sha256, 'sha256:', '')) from m where sha256 is not null group by 1 having count(*) > 1)")
 def d27(spark: SparkSession, d: str) -> DataFrame:
     m, c = b.manifest(spark, d), b.cleaned(spark, d)

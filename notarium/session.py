@@ -31,13 +31,16 @@ def ship(spark: SparkSession) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder that all executors share, below ``spark.checkpoint.dir``.
 
-    Where the session names none (tests, local mode) a folder of this machine
-    is set, which is right there as driver and executors are one process.
+    Where the session names none a folder of this machine is set in local mode
+    (tests), which is right there as driver and executors are one process; on a
+    cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         at = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = at.get() if at.isDefined() else None
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not base:
         own = tempfile.mkdtemp(prefix="notarium-")
         atexit.register(shutil.rmtree, own, ignore_errors=True)

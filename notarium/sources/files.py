@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.documents import map_texts, slug, split_front_matter
-from ..session import ship
+from ..session import keep, ship
 
 MANIFEST = "doc_id string, path string, filename string, size_bytes bigint, modified_at timestamp, sha256 string, line_count int, word_count int, char_count int"
 
@@ -88,9 +88,9 @@ def dimension(spark: SparkSession, path: str, key: str) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
-    """Rows of snapshot files with ``snapshot_ts`` from the file name."""
-    rows = spark.read.schema(schema).json(pattern).select("*", F.col("_metadata.file_name").alias("_f"))
-    return rows.withColumn("snapshot_ts", F.to_timestamp(F.regexp_extract("_f", r"(\d{8}_\d{6})", 1), "yyyyMMdd_HHmmss")).drop("_f")
+    """Rows of snapshot files with ``snapshot_ts`` from the name of the file or its folder."""
+    rows = spark.read.schema(schema).json(pattern).select("*", F.col("_metadata.file_path").alias("_f"))
+    return rows.withColumn("snapshot_ts", F.to_timestamp(F.regexp_extract("_f", r"(\d{8}_\d{6})[^/]*(?:/[^/]*)?$", 1), "yyyyMMdd_HHmmss")).drop("_f")
 
 
 def families(files: DataFrame) -> DataFrame:
@@ -118,6 +118,30 @@ def split_errors(df: DataFrame, is_error: str, errors_path: str) -> DataFrame:
     return df.where(f"not coalesce({is_error}, false)")
 
 
+def write_changed(new: DataFrame, folder: str, key: str, text: str) -> DataFrame:
+    """(key, state) of a write that touches only what changed: ``new``, ``changed``, ``same``, ``absent``.
+
+    The table in ``folder`` has versions; the rows that a version replaces go to ``archive`` before it is
+    written, and rows whose key ``new`` lacks stay.  A null text is a text of its own.
+    """
+    spark = new.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    last = max((int(n[1:]) for n in done if n.startswith("v") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}/_SUCCESS"))), default=-1)
+    have = spark.read.schema(new.schema).parquet(f"{folder}/v{last}") if last >= 0 else new.where("false")
+    digest = F.coalesce(F.sha2(text, 256), F.lit("")).alias("sha")
+    both = new.select(F.col(key), digest, F.lit(True).alias("_n")).join(have.select(F.col(key), digest.alias("_old"), F.lit(True).alias("_h")), key, "full")
+    state = F.when(F.col("_n").isNull(), "absent").when(F.col("_h").isNull(), "new").when(F.col("sha") == F.col("_old"), "same").otherwise("changed")
+    states = keep(both.select(key, state.alias("state")))
+    changed = states.where("state = 'changed'").select(key)
+    have.join(changed, key, "left_semi").withColumn("version", F.lit(last)).write.mode("append").parquet(f"{folder}/archive")
+    stay = have.join(states.where("state in ('same', 'absent')").select(key), key, "left_semi")
+    fresh = new.join(states.where("state in ('new', 'changed')").select(key), key, "left_semi")
+    stay.unionByName(fresh).write.mode("overwrite").parquet(f"{folder}/v{last + 1}")
+    return states
+
+
 def write_json_lines(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,22 +11,27 @@ from ..session import shared_folder
 def stream(spark: SparkSession, path: str, files_per_trigger: int = 4) -> DataFrame:
     """A stream over a Parquet table: a folder of files, or one file."""
     reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", files_per_trigger)
-    if os.path.isfile(path):
-        return reader.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path))
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if at.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(at).isFile():
+        return reader.option("pathGlobFilter", at.getName()).parquet(str(at.getParent()))
     return reader.parquet(path)
 
 
-def drain(df: DataFrame, mode: str = "append") -> DataFrame:
-    """Run a stream over all there is now into a new table; state and progress are in the shared folder, so a run can be resumed."""
+def drain(df: DataFrame, mode: str = "append", folder: str | None = None) -> DataFrame:
+    """Run a stream over all there is now into a table. With the same ``folder`` a later call goes on where the last one ended; without one all is new."""
     spark = df.sparkSession
-    out, state = shared_folder(spark), shared_folder(spark)
+    folder = folder or shared_folder(spark)
+    out, state = f"{folder}/rows", f"{folder}/state"
     df.writeStream.format("parquet").outputMode(mode).option("checkpointLocation", state).option("path", out).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(df.schema).parquet(out)
 
 
-def first_of(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The first row of each key that the stream sees; later ones are duplicates."""
-    return df.dropDuplicates(keys)
+def first_of(df: DataFrame, keys: list[str], time_col: str | None = None, within: str | None = None) -> DataFrame:
+    """The first row of each key that the stream sees; later ones are duplicates.
+
+    All keys are remembered; with a time column only those of the last ``within``, so the state is bounded.
+    """
+    return df.withWatermark(time_col, within).dropDuplicatesWithinWatermark(keys) if time_col else df.dropDuplicates(keys)
 
 
 def windows(df: DataFrame, time_col: str, length: str, late: str, *keys: str) -> DataFrame:

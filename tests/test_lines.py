@@ -109,3 +109,27 @@ def test_search_blocks_and_nearest(spark, monkeypatch):
     np.fill_diagonal(s, -2)
     assert {q: max(v)[1] for q, v in best.items()} == {q: int(s[q].argmax()) for q in range(0, 120, 10)}
     assert vectors.search(df, df.where("false"), "id", "v", 0.4).count() == 0
+
+
+def test_write_changed_archives_what_it_replaces(spark, tmp_path):
+    from notarium.sources.files import write_changed
+
+    at = f"file://{tmp_path}/notes"
+    make = lambda rows: spark.createDataFrame(rows, "k string, t string")
+    assert rows(write_changed(make([("a", "1"), ("b", "2"), ("n", None)]), at, "k", "t")) == {("a", "new"), ("b", "new"), ("n", "new")}
+    assert rows(write_changed(make([("a", "1"), ("b", "3"), ("c", "4"), ("n", None)]), at, "k", "t")) == {("a", "same"), ("b", "changed"), ("c", "new"), ("n", "same")}
+    assert rows(write_changed(make([("c", "4")]), at, "k", "t")) == {("a", "absent"), ("b", "absent"), ("n", "absent"), ("c", "same")}
+    assert rows(spark.read.parquet(f"{at}/archive").select("k", "t")) == {("b", "2")}
+    assert rows(spark.read.parquet(f"{at}/v2").select("k", "t")) == {("a", "1"), ("b", "3"), ("c", "4"), ("n", None)}
+
+
+def test_streams_go_on_where_they_ended(spark, tmp_path):
+    from notarium.streaming import ingest
+
+    src, at = f"{tmp_path}/in", f"file://{tmp_path}/out"
+    make = lambda n: spark.range(n).selectExpr("id", "timestamp_seconds(id + 1000000000) as ts").write.mode("append").parquet(src)
+    make(5)
+    assert ingest.drain(ingest.first_of(ingest.stream(spark, src), ["id"]), folder=at).count() == 5
+    make(8)
+    assert ingest.drain(ingest.first_of(ingest.stream(spark, src), ["id"]), folder=at).count() == 8
+    assert ingest.drain(ingest.first_of(ingest.stream(spark, src), ["id"], "ts", "1 hour")).count() == 8
