@@ -59,3 +59,9 @@ def test_terms_beyond_two_bytes(spark):
 
 def test_j6_is_no_join_of_postings(spark, folder):
     assert not any(x in plan(spark, folder, "j6_near_dups") for x in ("Exchange", "Join"))
+
+
+def test_d16_reads_bodies_once(spark, folder, monkeypatch):
+    calls, cleaned = [], similar.b.cleaned
+    monkeypatch.setattr(similar.b, "cleaned", lambda *a, **k: calls.append(a) or cleaned(*a, **k))
+    assert agrees(spark, folder, "d16_redundancy") and len(calls) == 1
