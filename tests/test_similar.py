@@ -65,3 +65,8 @@ def test_d16_reads_bodies_once(spark, folder, monkeypatch):
     calls, cleaned = [], similar.b.cleaned
     monkeypatch.setattr(similar.b, "cleaned", lambda *a, **k: calls.append(a) or cleaned(*a, **k))
     assert agrees(spark, folder, "d16_redundancy") and len(calls) == 1
+
+
+@pytest.mark.parametrize("name", ["pj11_sim_bins"])
+def test_bins_and_top_edges_join_no_postings(spark, folder, name):
+    assert "Join" not in plan(spark, folder, name) and agrees(spark, folder, name)
