@@ -72,7 +72,7 @@ def test_bins_and_top_edges_join_no_postings(spark, folder, name):
     assert "Join" not in plan(spark, folder, name) and agrees(spark, folder, name)
 
 
-@pytest.mark.parametrize("name", ["f32_bands"])
+@pytest.mark.parametrize("name", ["f32_bands", "j7_clusters"])
 def test_bands_and_clusters_read_bodies_once(spark, folder, monkeypatch, name):
     calls, cleaned = [], similar.b.cleaned
     monkeypatch.setattr(similar.b, "cleaned", lambda *a, **k: calls.append(a) or cleaned(*a, **k))
