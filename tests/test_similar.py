@@ -67,7 +67,7 @@ def test_d16_reads_bodies_once(spark, folder, monkeypatch):
     assert agrees(spark, folder, "d16_redundancy") and len(calls) == 1
 
 
-@pytest.mark.parametrize("name", ["pj11_sim_bins"])
+@pytest.mark.parametrize("name", ["pj11_sim_bins", "t2_top_edges"])
 def test_bins_and_top_edges_join_no_postings(spark, folder, name):
     assert "Join" not in plan(spark, folder, name) and agrees(spark, folder, name)
 
