@@ -77,3 +77,31 @@ def test_bands_and_clusters_read_bodies_once(spark, folder, monkeypatch, name):
     calls, cleaned = [], similar.b.cleaned
     monkeypatch.setattr(similar.b, "cleaned", lambda *a, **k: calls.append(a) or cleaned(*a, **k))
     assert agrees(spark, folder, name) and len(calls) == 1
+
+
+@pytest.mark.parametrize(("read", "hits", "cells"), [(0.9, 1 << 15, 1 << 19), (0.9, 1, 1), (0.75, 50, 900), (0.999, 300, 4000)])
+def test_few_postings_are_read_and_no_pair_is_lost(monkeypatch, read, hits, cells):
+    import numpy as np
+    import pyarrow as pa
+
+    for name, value in (("READ", read), ("CHUNK_HITS", hits), ("CHUNK_CELLS", cells)):
+        monkeypatch.setattr(tfidf, name, value)
+    rng, ranks, theta = np.random.default_rng(3), 90, 0.72
+    dense = rng.random((250, ranks)) ** 3 * (rng.random((250, ranks)) < rng.choice([0.02, 0.2, 0.7], 250)[:, None])
+    dense[150:] = dense[:100] * (rng.random((100, ranks)) < 0.8)
+    dense[240:] = dense[:10]
+    dense[dense.sum(1) == 0, 5] = 1
+    dense /= np.linalg.norm(dense, axis=1)[:, None]
+    row, t = np.nonzero(dense)
+    rows = tfidf._packed(pa.array([f"s{i:03}" for i in range(250)]), row, t, dense[row, t], dense[row, t], theta)
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, rows.schema) as to:
+        to.write_batch(rows)
+    block = type("Block", (), {"value": {"rows": sink.getvalue().to_pybytes()}})
+    got = [tuple(r.values()) for b in tfidf._meet(block, theta, None, ranks)(iter([rows.slice(0, 70), rows.slice(70)])) for r in b.to_pylist()]
+    near = dense @ dense.T
+    want = {(f"s{i:03}", f"s{j:03}"): near[i, j] for i in range(250) for j in range(i + 1, 250) if near[i, j] >= theta}
+    assert len(got) == len(want) > 100 and all(abs(want[a, b] - v) < 1e-12 for a, b, v in got)
+    # postings of a term are in the order of what follows them, so that a row reads only the first
+    x = block.value["index"]
+    assert (np.diff(x.key) >= 0).all() and len(x.row) == (x.suffix >= read * theta - 1e-6).sum()
