@@ -105,3 +105,68 @@ def test_few_postings_are_read_and_no_pair_is_lost(monkeypatch, read, hits, cell
     # postings of a term are in the order of what follows them, so that a row reads only the first
     x = block.value["index"]
     assert (np.diff(x.key) >= 0).all() and len(x.row) == (x.suffix >= read * theta - 1e-6).sum()
+
+
+ODD = ["a", "B", "ß", "İ", "İx", "𝒳", "𝒳y", "٣٤", "_", "__", "-", " ", "  ", "\n", " ", "\x0b", "Größe", "漢字", "字", "'", "é", "²", "Ⅷ", "ǅ", "🙂", "ﬁ"]
+
+
+def odd_texts(n: int) -> list[str]:
+    rng = random.Random(1)
+    return ["".join(rng.choice(ODD) for _ in range(rng.randint(0, 30))) for _ in range(n)] + ["", " ", "  a  bb "]
+
+
+def test_texts_are_read_once(spark):
+    rows = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    own = [t for t in texts() if t]
+    df = spark.createDataFrame(list(enumerate(own)), "id int, text string").mapInArrow(count, "id int, text string")
+    assert tfidf.similar_texts(df, "id", "text", 0.72, 2, 20_000).count() > 10 and rows.value == len(own)
+
+
+def test_words_split_in_the_worker_are_those_of_the_weights(spark):
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame(list(enumerate(odd_texts(500))), "id int, t string")
+    rows = df.select(tfidf._words("t").alias("ws"), tfidf._spaced("t").alias("x")).collect()
+    n, words = tfidf._split(pa.array([r.x for r in rows]))
+    assert n.tolist() == [len(r.ws) for r in rows] and words.to_pylist() == [w for r in rows for w in r.ws]
+    # blank texts are told by the text as it is
+    from notarium.operators import scan
+
+    assert not df.where(F.col("t").rlike(r"\S") != (scan.plain("t") != "")).count()
+
+
+def test_coded_words_do_not_depend_on_the_pieces(monkeypatch):
+    import pyarrow as pa
+
+    own = [*texts(), *odd_texts(50)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(own))), pa.array(own)], ["id", "text"])
+    found = []
+    for coded, counted in ((1 << 16, 1 << 20), (1, 1), (37, 100)):
+        monkeypatch.setattr(tfidf, "CODED_WORDS", coded), monkeypatch.setattr(tfidf, "BATCH_WORDS", counted)
+        rows = list(tfidf._code(iter([batch, batch.slice(0, 0)])))
+        assert sum((r.column("ids").flatten().to_pylist() for r in rows), []) == list(range(len(own)))
+        got = {}
+        for ids, row, names, code in tfidf._tokens(iter(rows)):
+            for i, k in zip(row.tolist(), code.tolist()):
+                got.setdefault(ids[i].as_py(), []).append(names[k].as_py())
+        terms = {}
+        for b in tfidf._count_terms(iter(rows)):
+            for r in b.to_pylist():
+                old = terms.get(r["term"], (0, 0))
+                terms[r["term"]] = (old[0] + r["df"], old[1] + r["times"])
+        found.append((got, terms))
+    assert found[0] == found[1] == found[2]
+    assert found[0][0] == {i: ws for i, t in enumerate(own) if (ws := [w for w in t.split(" ") if len(w) > 1])}
+
+
+@pytest.mark.parametrize("dense", [0, 1 << 30])
+def test_sums_passed_in_a_row_or_picked_lose_no_pair(monkeypatch, dense):
+    monkeypatch.setattr(tfidf, "DENSE", dense)
+    test_few_postings_are_read_and_no_pair_is_lost(monkeypatch, 0.9, 300, 4000)
