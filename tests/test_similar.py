@@ -170,3 +170,9 @@ def test_coded_words_do_not_depend_on_the_pieces(monkeypatch):
 def test_sums_passed_in_a_row_or_picked_lose_no_pair(monkeypatch, dense):
     monkeypatch.setattr(tfidf, "DENSE", dense)
     test_few_postings_are_read_and_no_pair_is_lost(monkeypatch, 0.9, 300, 4000)
+
+
+def test_clusters_write_words_as_numbers(spark, folder, monkeypatch):
+    kept, keep = [], tfidf.keep
+    monkeypatch.setattr(tfidf, "keep", lambda df, *a: kept.append(df.columns) or keep(df, *a))
+    assert agrees(spark, folder, "j7_clusters") and kept == [["ids", "n", "names", "codes"], ["id", "last", "n", "t", "x"]]
