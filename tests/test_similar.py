@@ -176,3 +176,56 @@ def test_clusters_write_words_as_numbers(spark, folder, monkeypatch):
     kept, keep = [], tfidf.keep
     monkeypatch.setattr(tfidf, "keep", lambda df, *a: kept.append(df.columns) or keep(df, *a))
     assert agrees(spark, folder, "j7_clusters") and kept == [["ids", "n", "names", "codes"], ["id", "last", "n", "t", "x"]]
+
+
+def shuffled(spark, run) -> tuple[int, int]:
+    """Records and bytes that a run writes to shuffles."""
+    sc = spark.sparkContext
+
+    def total() -> tuple[int, int]:
+        sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), sc._jvm.java.util.ArrayList())
+        every = [stages.apply(i) for i in range(stages.size())]
+        return sum(s.shuffleWriteRecords() for s in every), sum(s.shuffleWriteBytes() for s in every)
+
+    before = total()
+    run()
+    return tuple(y - x for x, y in zip(before, total()))
+
+
+def test_scan_shuffles_texts_once(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from notarium.operators import scan
+
+    rng = random.Random(5)
+    bodies = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789 ", k=20_000)) for _ in range(100)]
+    rows = [(f"D{i:03}", None, f"h{i}", t) for i, t in enumerate([*bodies, *bodies[:5], " ", None])]
+    spark.createDataFrame(rows, "doc_id string, frontmatter string, normalized_sha256 string, body string").write.parquet(str(tmp_path / "cleaned.parquet"))
+    vecs, edges = (spark.createDataFrame([], s) for s in ("doc_id string, v array<float>", "a string, b string, similarity double"))
+    seen, found = [], []
+
+    def near(texts):
+        seen.extend(r.id for r in texts.select("id").collect())
+        return edges
+
+    docs = similar.b.cleaned(spark, str(tmp_path)).select("doc_id", "body")
+    _, size = shuffled(spark, lambda: found.extend(scan.pairs(docs, lambda ids: vecs, "doc_id", "body", 0.7, "case when exact then 'exact' end", near).select("a", "b").collect()))
+    assert sorted(map(tuple, found)) == [(f"D{i:03}", f"D{i + 100:03}") for i in range(5)] and sorted(seen) == [f"D{i:03}" for i in range(100)]
+    assert size < 1.5 * sum(map(len, bodies))
+
+
+@pytest.mark.parametrize("kind", ["frequent", "flat", "apart"])
+def test_terms_that_cannot_be_in_the_vocabulary_are_not_shuffled(spark, kind):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(2000)]
+    each = {"frequent": [1 / (i + 1) for i in range(2000)], "flat": [1] * 2000, "apart": [1 / (i + 1) for i in range(2000)]}[kind]
+    own = [" ".join((f"p{i // 125}" if kind == "apart" else "") + w for w in rng.choices(words, each, k=40)) for i in range(500)]
+    own += [t + " w5 w6" for t in own[:60]]
+    df = spark.createDataFrame(list(enumerate(own)), "id int, text string").repartitionByRange(8, "id")
+    for vocabulary in (40, 97):
+        found = []
+        records, _ = shuffled(spark, lambda: found.extend(tfidf.similar_texts(df, "id", "text", 0.72, 2, vocabulary).collect()))
+        want = tfidf.similar(tfidf.weights(df, "id", "text", 2, vocabulary), 0.72).collect()
+        assert {(r.a, r.b): round(r.similarity, 9) for r in found} == {(r.a, r.b): round(r.similarity, 9) for r in want} and len(found) == len(want) > 50
+        terms = len({t for x in own for ws in [x.split()] for t in [*ws, *map(" ".join, zip(ws, ws[1:]))]})
+        assert kind != "frequent" or records < terms / 3
